@@ -25,7 +25,7 @@ WIDE_PRODUCT = rules.Burst(21_600.0, 5)
 WIDE_PAID = rules.Burst(172_800.0, 3)
 WIDE_ANCHORED = rules.Burst(864_000.0, 3)
 WIDE_LOOKBACK = 86_400.0
-ONE_ORDER = "ord-100"
+ONE_ORDER = "ord-0"
 
 _queries: dict[str, Query] = {}
 
@@ -318,7 +318,7 @@ def clear_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(metrics: DataFrame) -> DataFrame:
-    new = {c: f"round({c}, 6)" for c in ("hold_rate", "delay_p95_sec", "error_rate", "on_time_rate") if c in metrics.columns}
+    new = {c: f"round({c}, 6)" for c, kind in metrics.dtypes if kind == "double"}
     return intake.with_columns(metrics, new)
 
 

@@ -49,7 +49,7 @@ def seconds_between(earlier: str, later: str) -> str:
 
 
 def bucket_start(ts: str) -> str:
-    """Start of the 30-minute bucket holding ``ts``."""
+    """Start of the 30-minute bucket holding ``ts``; rows where it is null are dropped."""
     return f"window({ts}, '30 minutes').start"
 
 

@@ -107,7 +107,8 @@ def ops_counter_deltas(transitions: DataFrame, metrics: DataFrame, split: Split
 def ops_audit(events: DataFrame, actions: DataFrame, metrics: DataFrame, split: Split = DEFAULT_SPLIT) -> DataFrame:
     """Per action: was the event found, its state before, did it change, was a window touched.
 
-    Windows are aligned to the bucket, so "contains the time" is an equality.
+    Windows are aligned to the bucket, so "contains the time" is an equality. window()
+    drops rows without a time, so actions on unknown events borrow their own.
     """
     return events.sparkSession.sql(
         nested(
@@ -117,7 +118,7 @@ def ops_audit(events: DataFrame, actions: DataFrame, metrics: DataFrame, split:
               CAST(s.changed AND m.window_start IS NOT NULL AS bigint) AS metrics_updated
             FROM @stepped s LEFT JOIN (SELECT DISTINCT window_start FROM {{metrics}}) m ON s.changed AND s.bucket = m.window_start
             """,
-            stepped=f"SELECT *, found AND NOT (prev_status <=> new_status) AS changed, {bucket_start('ingested_at')} AS bucket FROM {{steps}}",
+            stepped=f"SELECT *, found AND NOT (prev_status <=> new_status) AS changed, {bucket_start('coalesce(ingested_at, at)')} AS bucket FROM {{steps}}",
         ),
         steps=_steps(events, actions, split),
         metrics=metrics,

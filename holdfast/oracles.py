@@ -182,7 +182,7 @@ _STATE = "o.order_id, o.product_id, o.current_stage"
 _ACT = """
 act AS (
   SELECT seq, order_id, (['STATUS', 'HOLD_OPS', 'CLEAR'])[k % 3 + 1] AS kind, (['PICKING', 'HOLD', 'SHIPPED'])[(k // 3) % 3 + 1] AS next_status,
-    (['ACK', 'RESOLVED'])[k % 2 + 1] AS new_status, 'op-' || (k % 5) AS operator, ingested_at + INTERVAL 5 MINUTE AS at
+    (['ACK', 'RESOLVED'])[k % 2 + 1] AS new_status, 'op-' || (k % 5) AS operator, ingested_at + INTERVAL 5 MINUTE AS "at"
   FROM led
 ),
 acc AS (SELECT a.* FROM act a JOIN ord o USING (order_id) SEMI JOIN prod p ON o.product_id = p.product_id WHERE a.kind = 'STATUS')"""
@@ -193,7 +193,7 @@ _OPS = """
 oa AS (
   SELECT seq * 4 + j AS seq, CASE WHEN j = 3 THEN 'gone-' || event_id ELSE event_id END AS event_id,
     (['ACK', 'RESOLVED', 'RETRY_REQUESTED'])[(k + j * (k % 2)) % 3 + 1] AS new_status, CASE WHEN j = 1 THEN 'second look' END AS note,
-    'op-' || j AS operator, ingested_at + to_minutes(j + 1) AS at
+    'op-' || j AS operator, ingested_at + to_minutes(j + 1) AS "at"
   FROM led CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS j) WHERE current_status = 'HOLD'
 ),
 steps AS (
@@ -452,32 +452,32 @@ drops AS (
     "order_status_change": _base(
         f"""
         SELECT {_STATE}, coalesce(c.next_status, o.current_status) AS current_status, coalesce(c.next_status, o.last_event_type) AS last_event_type,
-          coalesce(c.at, o.last_occurred_at) AS last_occurred_at, CASE WHEN c.clears THEN NULL ELSE o.hold_reason_code END AS hold_reason_code, o.created_at
+          coalesce(c."at", o.last_occurred_at) AS last_occurred_at, CASE WHEN c.clears THEN NULL ELSE o.hold_reason_code END AS hold_reason_code, o.created_at
         FROM ord o LEFT JOIN (
-          SELECT order_id, arg_max(next_status, seq) AS next_status, arg_max(at, seq) AS at, bool_or(next_status <> 'HOLD') AS clears
+          SELECT order_id, arg_max(next_status, seq) AS next_status, arg_max("at", seq) AS "at", bool_or(next_status <> 'HOLD') AS clears
           FROM acc GROUP BY order_id) c USING (order_id)""",
         _ACT,
     ),
     "status_change_ledger": _base(
         """
         SELECT 'act-' || seq AS event_id, order_id, next_status AS event_type, next_status AS current_status, CAST(NULL AS VARCHAR) AS reason_code,
-          at AS occurred_at, at AS ingested_at FROM acc""",
+          "at" AS occurred_at, "at" AS ingested_at FROM acc""",
         _ACT,
     ),
     "hold_ops": _base(
         """
         SELECT o.order_id, o.current_status, coalesce(a.new_status, o.hold_ops_status) AS hold_ops_status, CAST(NULL AS VARCHAR) AS hold_ops_note,
-          coalesce(a.operator, o.hold_ops_operator) AS hold_ops_operator, a.at AS hold_ops_updated_at
+          coalesce(a.operator, o.hold_ops_operator) AS hold_ops_operator, a."at" AS hold_ops_updated_at
         FROM ord o LEFT JOIN (SELECT * FROM act WHERE kind = 'HOLD_OPS' QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) = 1) a
           USING (order_id)""",
         _ACT,
     ),
     "clear_hold": _base(
         f"""
-        SELECT {_STATE}, CASE WHEN a.at IS NULL THEN o.current_status ELSE 'PAID' END AS current_status,
-          CASE WHEN a.at IS NULL THEN o.last_event_type ELSE 'HOLD_CLEARED' END AS last_event_type, coalesce(a.at, o.last_occurred_at) AS last_occurred_at,
+        SELECT {_STATE}, CASE WHEN a."at" IS NULL THEN o.current_status ELSE 'PAID' END AS current_status,
+          CASE WHEN a."at" IS NULL THEN o.last_event_type ELSE 'HOLD_CLEARED' END AS last_event_type, coalesce(a."at", o.last_occurred_at) AS last_occurred_at,
           o.hold_reason_code, o.created_at
-        FROM ord o LEFT JOIN (SELECT order_id, arg_max(at, seq) AS at FROM act WHERE kind = 'CLEAR' GROUP BY order_id) a USING (order_id)""",
+        FROM ord o LEFT JOIN (SELECT order_id, arg_max("at", seq) AS "at" FROM act WHERE kind = 'CLEAR' GROUP BY order_id) a USING (order_id)""",
         _ACT,
     ),
     "rollup_30m": _mw("SELECT * FROM mw"),
@@ -558,14 +558,14 @@ drops AS (
         ORDER BY created_at DESC NULLS FIRST, order_id DESC LIMIT 200"""
     ),
     "order_one": _base(
-        "SELECT o.* EXCLUDE (product_name), p.product_name FROM ord o JOIN prod p USING (product_id) WHERE o.order_id = 'ord-100'"
+        "SELECT o.* EXCLUDE (product_name), p.product_name FROM ord o JOIN prod p USING (product_id) WHERE o.order_id = 'ord-0'"
     ),
     "events_page": _base(
         f"""
         SELECT {_EVENT_LIST} FROM led WHERE order_id ILIKE '%rd-1_%' AND event_type ILIKE '%ERR%' AND reason_code IS NOT NULL
         ORDER BY ingested_at DESC NULLS FIRST, event_id DESC LIMIT 300"""
     ),
-    "order_events": _base(f"SELECT {_EVENT_LIST} FROM led WHERE order_id = 'ord-100' ORDER BY ingested_at DESC LIMIT 200"),
+    "order_events": _base(f"SELECT {_EVENT_LIST} FROM led WHERE order_id = 'ord-0' ORDER BY ingested_at DESC LIMIT 200"),
     "alerts": _base(
         f"""
         SELECT * FROM (
@@ -580,7 +580,7 @@ drops AS (
         SELECT * FROM (SELECT {_ALERT.format(time='ingested_at')} FROM led WHERE reason_code IS NOT NULL) WHERE status = 'ACK'
         ORDER BY occurred_at DESC NULLS FIRST, alert_key DESC LIMIT 300"""
     ),
-    "order_alerts": _base(f"SELECT {_ALERT.format(time='occurred_at')} FROM led WHERE reason_code IS NOT NULL AND order_id = 'ord-100'"),
+    "order_alerts": _base(f"SELECT {_ALERT.format(time='occurred_at')} FROM led WHERE reason_code IS NOT NULL AND order_id = 'ord-0'"),
     "alert_keys": _base(
         """
         SELECT seq, CASE k % 3 WHEN 0 THEN 'EVENT' WHEN 1 THEN 'HOLD' END AS kind,
@@ -589,7 +589,7 @@ drops AS (
     "ops_apply": _base(
         """
         SELECT l.event_id, l.current_status, coalesce(a.new_status, l.ops_status) AS ops_status, a.note AS ops_note,
-          coalesce(a.operator, l.ops_operator) AS ops_operator, a.at AS ops_updated_at
+          coalesce(a.operator, l.ops_operator) AS ops_operator, a."at" AS ops_updated_at
         FROM led l LEFT JOIN (SELECT * FROM oa QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY seq DESC) = 1) a USING (event_id)""",
         _OPS,
     ),
@@ -597,10 +597,10 @@ drops AS (
         """
         SELECT seq, CASE WHEN k % 4 = 0 THEN 'HOLD' ELSE 'EVENT' END AS kind, CASE WHEN k % 4 = 0 THEN order_id ELSE event_id END AS target,
           (['ACK', 'RESOLVED', 'RETRY_REQUESTED'])[seq % 4 + 1] AS new_status,
-          CASE WHEN k % 5 = 0 THEN 'seen' WHEN seq % 4 = 2 THEN 'retry requested' END AS note, 'op' AS operator, ingested_at AS at
+          CASE WHEN k % 5 = 0 THEN 'seen' WHEN seq % 4 = 2 THEN 'retry requested' END AS note, 'op' AS operator, ingested_at AS "at"
         FROM led WHERE k % 4 <> 3 AND seq % 4 <> 3"""
     ),
-    "ops_transitions": _base("SELECT seq, event_id, prev_status, new_status, ingested_at, at FROM tr", _OPS),
+    "ops_transitions": _base("SELECT seq, event_id, prev_status, new_status, ingested_at, \"at\" FROM tr", _OPS),
     "ops_counters": _mw(f"SELECT window_start, {', '.join(_moved(s, c) for s, c in _COUNTERS.items())} FROM mw", _OPS, _MOVES),
     "ops_audit": _mw(
         """
