@@ -14,6 +14,8 @@ from holdfast.operators import intake, kpi, lists, ops, quarantine, rollup, rule
 from holdfast.session import scratch_path, staged
 from holdfast.sources.messages import decode_messages, land_raw, read_messages, split_bad
 from holdfast.sources.tables import alert_payloads, append_ledger, first_arrivals, read_table, write_metrics
+from holdfast.streaming import intake as streamed
+from holdfast.streaming import keyed, runner, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -531,3 +533,71 @@ def ops_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ops_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = binding.ledger(spark, sf_dir)
     return ops.ops_audit(rows, binding.event_actions(rows), binding.metrics(spark, sf_dir))
+
+
+# --- streams, run over the events file until it is read ------------------------------
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = spark.readStream.schema(binding.EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    return binding.bind(files.parquet(sf_dir))
+
+
+def _collected(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """Runs a stream into a fresh table, and reads that."""
+    out = scratch_path(spark, name)
+    runner.run_available(stream, lambda df, batch: runner.write_batch(df, batch, f"{out}/rows"), f"{out}/checkpoint", mode)
+    return runner.read_batches(spark, f"{out}/rows")
+
+
+@query
+def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    updates = _collected(spark, windows.stream_counts(_event_stream(spark, sf_dir)), "stream_rollup", "update")
+    counts = windows.current_counts(updates)
+    return intake.with_columns(counts, {c: f"CAST({c} AS timestamp_ntz)" for c in ("window_start", "window_end")})
+
+
+@query
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _event_stream(spark, sf_dir).select("event_id", "order_id", "ingested_at")
+    twice = rows.unionByName(_event_stream(spark, sf_dir).select("event_id", "order_id", "ingested_at"))
+    return _collected(spark, windows.stream_dedup(twice), "stream_dedup").select("event_id", "order_id")
+
+
+@query
+def stream_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _event_stream(spark, sf_dir).selectExpr("seq", "user_id", "occurred_at AS created_at")
+    return _collected(spark, keyed.stream_burst(rows, ["user_id"], WIDE_USER), "stream_burst").select("seq", "burst")
+
+
+@query
+def stream_anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _event_stream(spark, sf_dir).selectExpr("seq", "user_id", "CAST(k % 5 AS string) AS product_id", "occurred_at AS created_at")
+    flagged = keyed.stream_burst(rows, ["user_id", "product_id"], WIDE_ANCHORED, anchored=True)
+    return _collected(spark, flagged, "stream_anchored").select("seq", "burst")
+
+
+@query
+def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    times = ["last_occurred_at", "ingested_at"]
+    shown = [c for c in _SHOWN if c not in ("raw_reference", "created_at")]
+    rows = _gappy(_event_stream(spark, sf_dir)).select("seq", *shown, "ingested_at")
+    live = keyed.stream_orders(keyed.as_micros(rows, times), snapshot.FILLED_FORWARD, snapshot.REQUIRED_OWN)
+    updates = _collected(spark, live, "stream_snapshot", "update").withColumnRenamed("seq", "raw_reference")
+    latest = streamed.current_orders(updates)
+    return keyed.from_micros(latest, [*times, "created_at"]).select(*_SHOWN)
+
+
+@query
+def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages through the continuous intake; the orders it ends with."""
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "intake")
+    binding.messages(spark, sf_dir).write.parquet(topic)
+    messages = read_messages(spark, "parquet", {"path": topic})
+    streamed.run_intake(messages, None, "ingest", f"{out}/tables", f"{out}/checkpoint")
+    orders = streamed.read_intake(spark, f"{out}/tables")["orders"]
+    return orders.selectExpr(
+        "order_id", "user_id", "product_id", "product_name", "shipping_address", "current_stage", "current_status", "last_event_type",
+        f"{as_utc('last_occurred_at')} AS last_occurred_at", "hold_reason_code", "raw_reference.offset AS last_offset",
+        f"{as_utc('created_at')} AS created_at",
+    )

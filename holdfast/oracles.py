@@ -610,4 +610,32 @@ drops AS (
         FROM steps s LEFT JOIN mw m ON m.window_start <= s.ingested_at AND s.ingested_at < m.window_end""",
         _OPS,
     ),
+    "stream_rollup": _base(
+        """
+        SELECT time_bucket(INTERVAL '30 minutes', ingested_at) AS window_start, time_bucket(INTERVAL '30 minutes', ingested_at) + INTERVAL 30 MINUTE AS window_end,
+          count(*) FILTER (current_status = 'PAID') AS payments, count(*) FILTER (current_status = 'SHIPPED') AS shipped, count(*) AS ingest_count,
+          count(*) FILTER (current_status = 'HOLD') AS event_errors,
+          count(*) FILTER (current_status = 'HOLD' AND coalesce(ops_status, 'OPEN') = 'OPEN') AS alerts_open,
+          count(*) FILTER (current_status = 'HOLD' AND ops_status = 'ACK') AS alerts_ack,
+          count(*) FILTER (current_status = 'HOLD' AND ops_status = 'RESOLVED') AS alerts_resolved,
+          count(*) FILTER (current_status = 'HOLD' AND ops_status = 'RETRY_REQUESTED') AS alerts_retry
+        FROM led GROUP BY ALL"""
+    ),
+    "stream_dedup": _base("SELECT event_id, order_id FROM led"),
 }
+ORACLES["stream_burst"] = ORACLES["burst_user"]
+ORACLES["stream_anchored"] = ORACLES["burst_anchored"]
+ORACLES["stream_snapshot"] = ORACLES["snapshot_fill"]
+ORACLES["stream_intake"] = _base(
+    """
+    SELECT n.order_id, arg_max(user_id, n.pos) AS user_id, arg_max(product_id, n.pos) AS product_id, arg_max(product_name, n.pos) AS product_name,
+      arg_max(shipping_address, n.pos) FILTER (shipping_address IS NOT NULL) AS shipping_address, arg_max(current_stage, n.pos) AS current_stage,
+      arg_max(current_status, n.pos) AS current_status, arg_max(event_type, n.pos) AS last_event_type, arg_max(occurred_at, n.pos) AS last_occurred_at,
+      arg_max_null(reason_code, n.pos) AS hold_reason_code, arg_max("offset", n.pos) AS last_offset, arg_min(ingested_at, n.pos) AS created_at
+    FROM arrived n JOIN (
+      SELECT order_id, min(pos) AS start FROM arrived WHERE shipping_address IS NOT NULL AND current_status IS NOT NULL GROUP BY order_id
+    ) s ON n.order_id = s.order_id AND n.pos >= s.start
+    WHERE current_status IS NOT NULL GROUP BY n.order_id""",
+    _NORMAL,
+    "arrived AS (SELECT *, row_number() OVER (ORDER BY ingested_at, \"offset\" % 4, \"offset\") AS pos FROM norm)",
+)
