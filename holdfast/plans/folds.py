@@ -175,6 +175,26 @@ def _composing(fold: Fold, group: Sequence[str]) -> Callable[[pa.Table], pa.Tabl
     return run
 
 
+def _with_states(work: DataFrame, group: Sequence[str], fold: Fold, fields: Sequence[str]) -> DataFrame:
+    """Rows with the state that comes into their segment."""
+    place = [*group, SEG]
+    place_type = [work.schema[n] for n in place]
+    heavy = work.where(f"{CUT} AND _in").select(*place, "_rank", "_time")
+    summaries = heavy.mapInArrow(_summarizing(fold, group), T.StructType([*place_type, T.StructField("_summary", T.StringType())]))
+    # One row per segment of a cut key: bounded, see Split.
+    carry = summaries.groupBy(*group).applyInArrow(
+        _composing(fold, group), T.StructType([*place_type, T.StructField("_state", T.StringType())])
+    )
+    return work.sparkSession.sql(
+        f"""
+        SELECT /*+ BROADCAST(c) */ {', '.join('w.' + c for c in fields)}, c._state
+        FROM {{work}} w LEFT JOIN {{carry}} c ON {' AND '.join(f'w.{c} <=> c.{c}' for c in place)}
+        """,
+        work=work,
+        carry=carry,
+    )
+
+
 def fold_in_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -190,28 +210,14 @@ def fold_in_key(
 
     ``time`` is an expression in microseconds.
     """
-    work, group = segmented(df, keys, order, where, source, split)
+    work, group, cut = segmented(df, keys, order, where, source, split)
     place = [*group, SEG]
     # The window leaves each partition sorted by (group, segment, order), which the walk uses.
     ranked = f"row_number() OVER (PARTITION BY {', '.join(place)} ORDER BY {', '.join(order)}) AS _rank"
     work = work.selectExpr("*", f"{time} AS _time", ranked)
-    place_type = [work.schema[n] for n in place]
-
-    heavy = work.where(f"{CUT} AND _in").select(*place, "_rank", "_time")
-    summaries = heavy.mapInArrow(_summarizing(fold, group), T.StructType([*place_type, T.StructField("_summary", T.StringType())]))
-    # One row per segment of a cut key: bounded, see Split.
-    carry = summaries.groupBy(*group).applyInArrow(
-        _composing(fold, group), T.StructType([*place_type, T.StructField("_state", T.StringType())])
-    )
     names = [*df.columns, "_in"]
-    carried = df.sparkSession.sql(
-        f"""
-        SELECT /*+ BROADCAST(c) */ {', '.join('w.' + c for c in [*names, '_rank', '_time'])}, c._state
-        FROM {{work}} w LEFT JOIN {{carry}} c ON {' AND '.join(f'w.{c} <=> c.{c}' for c in place)}
-        """,
-        work=work,
-        carry=carry,
-    )
+    fields = [*names, "_rank", "_time"]
+    carried = _with_states(work, group, fold, fields) if cut else work.selectExpr(*fields, "CAST(NULL AS string) AS _state")
     result = T.StructType([*[work.schema[n] for n in names], T.StructField("_flag", T.BooleanType())])
     flagged = carried.mapInArrow(_flagging(fold, names), result)
     return flagged.selectExpr(*df.columns, f"_flag AND _in AS {out}")

@@ -1,9 +1,10 @@
 """Ordered computations per key that stay balanced when one key holds most rows.
 
-A window over a key runs in one task. Here a heavy key's ordered rows are first cut into
-segments, the window runs per (key, segment), and a small carry joins the segments again.
-The cut points come from a hash sample of the rows, so every branch of a plan, and every
-retried task, agrees on them. Results never depend on where the cuts fall.
+A window over a key runs in one task. Before building the plan, a count and, on big
+inputs, a hash sample of the rows tell which keys are too heavy for that. Without such a
+key the plan is the plain window. A heavy key's ordered rows are cut into segments, the
+window runs per (key, segment), and a small carry joins the segments again. Results never
+depend on where the cuts fall.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SEG = "_segment"
 CUT = "_is_cut"
 _COARSE = "_coarse"
 _PER_COARSE = 128
 from holdfast.plans.nested import nested
+from holdfast.session import staged
 
 
 @dataclass(frozen=True)
@@ -26,17 +27,18 @@ class Split:
     """When to cut a key.
 
     About ``samples`` rows are sampled at most and every ``per_segment`` of one key start
-    a segment, so at most ``samples / per_segment`` segments are ever broadcast, however
-    big the input. Keys below about twice ``min_rows`` rows stay whole.
+    a segment, so the driver sees, and the plan broadcasts, at most
+    ``samples / per_segment`` cut positions, however big the input. Keys below about
+    twice ``min_rows`` rows stay whole.
     """
 
     min_rows: int = 2_000_000
     samples: int = 2_000_000
     per_segment: int = 50
 
-    @property
-    def min_rate(self) -> int:
-        return max(1, self.min_rows // self.per_segment)
+    def rate(self, total: int) -> int:
+        """One row in this many is sampled."""
+        return max(1, self.min_rows // self.per_segment, total // self.samples)
 
 
 DEFAULT_SPLIT = Split()
@@ -55,32 +57,34 @@ def _earlier(order: Sequence[str], bound: str) -> str:
     return test
 
 
-def cut_points(rows: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = DEFAULT_SPLIT) -> DataFrame:
-    """Segments of the keys worth cutting: (keys, segment, coarse segment, from, to)."""
+def cut_points(rows: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = DEFAULT_SPLIT) -> DataFrame | None:
+    """Segments of the heavy keys: (keys, segment, coarse segment, from, to); None without any.
+
+    Reads a row count and at most ``samples / per_segment`` positions to the driver, so
+    that every branch of the plan and every retried task uses the same cuts.
+    """
+    total = rows.count()
+    if total < 2 * split.min_rows:
+        return None
     k, o = _listed(keys), _listed(order)
-    # The sample is about ``samples`` rows in all, however skewed the keys are.
     # get() counts from 0 and is null outside the array, which leaves the ends open.
-    return rows.sparkSession.sql(
+    cuts = rows.sparkSession.sql(
         nested(
             f"""
             SELECT {k}, {SEG}, {SEG} div {_PER_COARSE} AS {_COARSE}, get(cuts, {SEG} - 1) AS _from, get(cuts, {SEG}) AS _to
-            FROM @numbered
-            """,
-            sampled=f"""
-              SELECT {k}, struct({o}) AS at FROM {{rows}}
-              WHERE pmod(xxhash64({k}, {o}), (
-                SELECT greatest({split.min_rate}L, count(*) div {split.samples}) FROM {{rows}}
-              )) = 0
+            FROM (SELECT {k}, cuts, explode(sequence(0, size(cuts))) AS {SEG} FROM @heavy)
             """,
-            per_key=f"SELECT {k}, sort_array(collect_list(at)) AS s FROM @sampled GROUP BY {k}",
+            sampled=f"SELECT {k}, struct({o}) AS at FROM {{rows}} WHERE pmod(xxhash64({k}, {o}), {split.rate(total)}L) = 0",
+            per_key="SELECT {k}, sort_array(collect_list(at)) AS s FROM @sampled GROUP BY {k}".format(k=k),
             heavy=f"""
               SELECT {k}, filter(s, (x, i) -> i > 0 AND i % {split.per_segment} = 0) AS cuts
               FROM @per_key WHERE size(s) >= {2 * split.per_segment}
             """,
-            numbered=f"SELECT {k}, cuts, explode(sequence(0, size(cuts))) AS {SEG} FROM @heavy",
         ),
         rows=rows,
     )
+    found = cuts.collect()
+    return rows.sparkSession.createDataFrame(found, cuts.schema) if found else None
 
 
 def with_segments(rows: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
@@ -120,8 +124,8 @@ def segmented(
     where: str | None = None,
     source: DataFrame | None = None,
     split: Split = DEFAULT_SPLIT,
-) -> tuple[DataFrame, list[str]]:
-    """Rows with their segment, and the columns to group by beside it.
+) -> tuple[DataFrame, list[str], bool]:
+    """Rows with their segment, the columns to group by beside it, and whether any key is cut.
 
     Rows outside ``where`` (column ``_in`` false) leave their key and spread by hash.
     ``source`` gives the cut points from a cheaper frame with the same key and order
@@ -136,7 +140,13 @@ def segmented(
         sampled = work.where("_in").selectExpr(*group, *order)
     else:
         sampled = source.selectExpr(*[f"{k} AS {g}" for k, g in zip(keys, group)], "CAST(NULL AS bigint) AS _salt", *order)
-    return with_segments(work, group, order, cut_points(sampled, group, order, split)), group
+    cuts = cut_points(sampled, group, order, split)
+    if cuts is None:
+        return work.selectExpr("*", f"0 AS {SEG}"), group, False
+    # The rows are read twice from here on; derived ones are stored, not computed again.
+    if source is not None:
+        work = staged(work, "rows")
+    return with_segments(work, group, order, cuts), group, True
 
 
 def lag_in_key(
@@ -151,8 +161,11 @@ def lag_in_key(
     split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """``value`` of the row ``n`` places earlier among the key's rows satisfying ``where``."""
-    work, group = segmented(df, keys, order, where, source, split)
+    work, group, cut = segmented(df, keys, order, where, source, split)
     g, o = _listed(group), _listed(order)
+    if not cut:
+        lagged = f"CASE WHEN _in THEN lag({value}, {n}) OVER (PARTITION BY {g} ORDER BY {o}) END AS {out}"
+        return work.selectExpr(*df.columns, lagged)
     same = " AND ".join(f"w.{c} <=> c.{c}" for c in (*group, SEG))
     # At most n rows per segment are tails; a segment's first tail row sees the n before it.
     return df.sparkSession.sql(
@@ -206,8 +219,10 @@ def running_in_key(
     split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Running max, min or sum of ``value`` over the key's ordered rows, row included."""
-    work, group = segmented(df, keys, order, None, source, split)
+    work, group, cut = segmented(df, keys, order, None, source, split)
     g, o = _listed(group), _listed(order)
+    if not cut:
+        return work.selectExpr(*df.columns, f"{how}({value}) OVER (PARTITION BY {g} ORDER BY {o} ROWS UNBOUNDED PRECEDING) AS {out}")
     same = " AND ".join(f"w.{c} <=> c.{c}" for c in (*group, SEG))
     return df.sparkSession.sql(
         nested(
