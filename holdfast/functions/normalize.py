@@ -24,7 +24,7 @@ def first_filled(*values: str) -> str:
 
 
 def is_filled(value: str) -> str:
-    return f"({value} IS NOT NULL AND {value} <> '')"
+    return f"(coalesce({value}, '') <> '')"
 
 
 def event_type_of(record: str) -> str:

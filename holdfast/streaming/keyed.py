@@ -107,7 +107,8 @@ def stream_burst(
 
     ``rows`` are the rows the rule counts (those that passed the rules before it), with a
     bigint ``seq`` in arrival order. ``idle`` forgets a key after that much processing
-    time without rows; choose it well above the window plus the stream's lag.
+    time without rows; choose it well above the window plus the stream's lag. It is for
+    streams that run on: with it, an availableNow run keeps making batches.
     """
     width = round(burst.seconds * 1e6)
     fold: Fold = AnchoredWindow(width, burst.limit) if anchored else ArrivalBurst(width, burst.limit)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -45,19 +46,34 @@ def test_burst_state_crosses_batches(spark, anchored):
         want = rules.rule_anchored_burst(df, burst)
     else:
         want = rules.burst_flag(df, ["user_id", "product_id"], burst, "burst", mode=rules.ARRIVAL)
-    flagged = keyed.stream_burst(as_stream(spark, df, 4), ["user_id", "product_id"], burst, anchored=anchored, idle=timedelta(hours=1))
+    flagged = keyed.stream_burst(as_stream(spark, df, 4), ["user_id", "product_id"], burst, anchored=anchored)
     got = {r.seq: r.burst for r in collect(spark, flagged).collect()}
     assert got == {r.seq: r.burst for r in want.collect()} and any(got.values()) and len(got) == 150
 
 
+def test_idle_keys_may_expire_on_an_endless_stream(spark):
+    rows = [(i, "u", T0 + timedelta(seconds=i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "seq bigint, user_id string, created_at timestamp_ntz")
+    flagged = keyed.stream_burst(as_stream(spark, df, 2), ["user_id"], Burst(4.0, 2), idle=timedelta(hours=1))
+    out = scratch_path(spark, "out")
+    writer = flagged.writeStream.foreachBatch(lambda d, b: runner.write_batch(d, b, f"{out}/rows")).option("checkpointLocation", f"{out}/checkpoint")
+    query = writer.trigger(processingTime="1 second").start()
+    deadline = time.time() + 90
+    while sum(p["numInputRows"] for p in query.recentProgress) < 20 and time.time() < deadline and query.isActive:
+        time.sleep(1)
+    query.stop()
+    got = runner.read_batches(spark, f"{out}/rows").collect()
+    assert {r.seq: r.burst for r in got} == {i: i >= 2 for i in range(20)}
+
+
 def test_windows_follow_late_rows(spark):
-    late = [(1, "PAID", 0), (2, "HOLD", 5), (3, "SHIPPED", 40), (4, "PAID", 10), (5, "PAID", 300), (6, "PAID", 1)]
+    late = [(1, "PAID", 0), (2, "HOLD", 5), (3, "SHIPPED", 40), (4, "PAID", 10), (5, "PAID", 300), (6, "PAID", 301), (7, "PAID", 1)]
     rows = [(i, s, None, T0 + timedelta(minutes=m)) for i, s, m in late]
     df = spark.createDataFrame(rows, "seq bigint, current_status string, ops_status string, ingested_at timestamp_ntz")
-    updates = collect(spark, windows.stream_counts(as_stream(spark, df, 6)), "update")
+    updates = collect(spark, windows.stream_counts(as_stream(spark, df, 7)), "update")
     got = {r.window_start: (r.ingest_count, r.payments, r.event_errors) for r in windows.current_counts(updates).collect()}
-    # The fourth row is late but within two hours; the sixth comes after the watermark has passed.
-    assert got == {T0: (3, 2, 1), T0 + timedelta(minutes=30): (1, 0, 0), T0 + timedelta(minutes=300): (1, 1, 0)}
+    # The fourth row is late but within two hours; the last comes after the watermark has passed.
+    assert got == {T0: (3, 2, 1), T0 + timedelta(minutes=30): (1, 0, 0), T0 + timedelta(minutes=300): (2, 2, 0)}
 
 
 def test_dedup_across_batches(spark):
