@@ -113,31 +113,34 @@ Fold = AnchoredWindow | ArrivalBurst
 Batches = Iterator[pa.RecordBatch]
 
 
-def _pieces(batches: Batches) -> Iterator[tuple[bool, pa.RecordBatch]]:
-    """Slices that lie in one segment, and whether a slice begins its segment."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        begins = np.asarray(batch.column("_rank")) == 1
-        starts = np.flatnonzero(begins | (np.arange(len(begins)) == 0))
-        for a, b in zip(starts, np.append(starts[1:], len(begins))):
-            yield bool(begins[a]), batch.slice(int(a), int(b - a))
-
-
 def _times(batch: pa.RecordBatch) -> np.ndarray:
     return np.asarray(batch.column("_time"))
 
 
+def _starts(batch: pa.RecordBatch) -> np.ndarray:
+    """Where segments begin in a batch, and its first row, which may continue one."""
+    begins = np.asarray(batch.column("_rank")) == 1
+    begins[0] = True
+    return np.flatnonzero(begins)
+
+
 def _flagging(fold: Fold, names: Sequence[str]) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         state: Any = None
-        for begins, piece in _pieces(batches):
-            if begins:
-                carried = piece.column("_state")[0].as_py()
-                state = json.loads(carried) if carried is not None else None
-            flags, state = fold.walk(state, _times(piece))
-            columns = [piece.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(flags)], [*names, "_flag"])
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            times, ranks, carried = _times(batch), np.asarray(batch.column("_rank")), batch.column("_state")
+            has_state = np.asarray(carried.is_valid())
+            flags = np.zeros(len(times), dtype=bool)
+            starts = _starts(batch)
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(times)]):
+                if ranks[a] == 1:
+                    if b - a <= fold.limit and b < len(times) and not has_state[a]:
+                        continue  # a whole segment too short to exceed the limit
+                    state = json.loads(carried[a].as_py()) if has_state[a] else None
+                flags[a:b], state = fold.walk(state, times[a:b])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(flags)], [*names, "_flag"])
 
     return run
 
@@ -147,16 +150,20 @@ def _summarizing(fold: Fold, group: Sequence[str]) -> Callable[[Batches], Batche
 
     def emit(first: pa.RecordBatch, times: list[np.ndarray]) -> pa.RecordBatch:
         summary = json.dumps(fold.summarize(np.concatenate(times)))
-        return pa.RecordBatch.from_arrays([*[first.column(n).slice(0, 1) for n in names], pa.array([summary])], [*names, "_summary"])
+        return pa.RecordBatch.from_arrays([*[first.column(n) for n in names], pa.array([summary])], [*names, "_summary"])
 
     def run(batches: Batches) -> Batches:
         first, times = None, []
-        for begins, piece in _pieces(batches):
-            if begins and first is not None:
-                yield emit(first, times)
-            if begins:
-                first, times = piece, []
-            times.append(_times(piece))
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            starts, ranks, moments = _starts(batch), np.asarray(batch.column("_rank")), _times(batch)
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(moments)]):
+                if ranks[a] == 1:
+                    if first is not None:
+                        yield emit(first, times)
+                    first, times = batch.slice(a, 1), []
+                times.append(moments[a:b])
         if first is not None:
             yield emit(first, times)
 
