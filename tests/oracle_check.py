@@ -55,6 +55,9 @@ def compare(got: pd.DataFrame, want: pd.DataFrame) -> str:
     """Empty when equal, else what differs."""
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(set(got.columns) ^ set(want.columns))}"
+    kinds = [c for c, k in kind_of(got).items() if k != kind_of(want)[c] and got[c].notna().any() and want[c].notna().any()]
+    if kinds:
+        return f"types {[(c, str(got[c].dtype), str(want[c].dtype)) for c in kinds]}"
     a, b = rows_of(got), rows_of(want)
     if len(a) != len(b):
         return f"rows {len(a)} != {len(b)}"
