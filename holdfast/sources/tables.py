@@ -45,29 +45,31 @@ def append_table(df: DataFrame, path: str, time: str) -> None:
     df.withColumn(DAY, F.to_date(time)).write.mode("append").partitionBy(DAY).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """An append-only table; empty when nothing was written yet and a schema is given."""
+def _read_days(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+    """An append-only table with its day; empty when nothing was written and a schema is given."""
     try:
-        return spark.read.parquet(path).drop(DAY)
+        return spark.read.parquet(path)
     except Exception as e:  # the analysis error class differs between session kinds
-        if schema is not None and "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+        if schema is None or "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(DAY, T.DateType())]))
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """An append-only table; empty when nothing was written yet and a schema is given."""
+    return _read_days(spark, path, schema).drop(DAY)
 
 
 def write_metrics(spark: SparkSession, fresh: DataFrame, path: str) -> None:
-    """Upserts windows by (start, end): only the touched days are rewritten.
+    """Upserts windows by (start, end): only the touched days are read and rewritten.
 
     Files cannot be overwritten while they are read, so the merged days are staged first.
     """
-    day = F.to_date("window_start")
-    stored = read_table(spark, path, fresh.schema)
     staging = scratch_path(spark, "metrics")
-    fresh.withColumn(DAY, day).write.partitionBy(DAY).parquet(f"{staging}/fresh")
-    fresh = spark.read.parquet(f"{staging}/fresh")
-    touched = fresh.select(DAY).distinct()
-    old = stored.withColumn(DAY, day).join(touched, DAY, "left_semi")
-    merge_windows(old, fresh.select(*old.columns)).write.parquet(f"{staging}/merged")
+    fresh.withColumn(DAY, F.to_date("window_start")).write.parquet(f"{staging}/fresh")
+    new = spark.read.parquet(f"{staging}/fresh")
+    old = _read_days(spark, path, fresh.schema).join(new.select(DAY).distinct(), DAY, "left_semi")
+    merge_windows(old.select(*new.columns), new).write.parquet(f"{staging}/merged")
     merged = spark.read.parquet(f"{staging}/merged")
     by_day = merged.repartition(DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     by_day.partitionBy(DAY).parquet(path)
