@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm import contamination, licenses, mixing, quality
+from holdfast.llm import contamination, jaccard, licenses, mixing, quality, vectors
 from holdfast.llm.common import table
 from holdfast.session import staged
 
@@ -22,13 +22,21 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(described, quality.fit(described, table(spark, sf_dir, "labels")))
 
 
+def op4_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in [op1_license_scan, op2_quality_classifier, op5_mix_sources, op10_decontamination]}
+QUERIES: dict[str, Query] = {f.__name__: f for f in [op1_license_scan, op2_quality_classifier, op4_vector_near_duplicates, op5_mix_sources, op7_ngram_jaccard_join, op10_decontamination]}
 ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle()}
