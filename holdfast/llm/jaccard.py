@@ -226,9 +226,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [[s for chunk in text_chunks(batch.column(i)) for s in shingles(chunk)] for i in (2, 3)]
-            linked = [similar(a, b) for a, b in zip(*sets)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+            for at in range(0, len(batch), 200):
+                part = batch.slice(at, 200)
+                sets = [[s for chunk in text_chunks(part.column(i)) for s in shingles(chunk)] for i in (2, 3)]
+                linked = [similar(a, b) for a, b in zip(*sets)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return joined.mapInArrow(run, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
@@ -247,33 +249,35 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _across(table: pa.Table) -> pa.Table:
     """Closest pairs of each two components in a block, as far as sketches and earlier answers allow."""
-    ids, comps, sizes = (table.column(c).to_numpy() for c in ("id", "component", "n_shingles"))
+    ids, comps, sizes, blocks = (table.column(c).to_numpy() for c in ("id", "component", "n_shingles", "block"))
     sketches = table.column("sketch").to_pylist()
-    blocks = table.column("block").to_numpy()
     one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
-    left = np.flatnonzero(blocks == one)
-    right = left if one == two else np.flatnonzero(blocks == two)
-    found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    denied = {(i, j) for i, d in zip(ids.tolist(), table.column("denied").to_pylist()) for j in d or ()}
     lengths = np.array([len(x) for x in sketches])
-    denied = {int(i): set(d or []) for i, d in zip(ids, table.column("denied").to_pylist())}
-    for size in np.unique(lengths):
-        at_most = lengths >= size
-        folded = _fold([x if len(x) >= size else b"\0" * size for x in sketches], int(size))
-        for i in left:
-            others = right[(right > i) if one == two else slice(None)]
-            # compare at the smaller of the two sketch sizes
-            others = others[at_most[others] & (comps[others] != comps[i]) & (np.minimum(lengths[others], lengths[i]) == size)] if lengths[i] >= size else others[:0]
-            if not len(others):
-                continue
-            low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-            others = others[UNDER * low >= OVER * high]
-            apart = np.bitwise_count(folded[others] ^ folded[i]).sum(axis=1)
-            near = apart <= may_differ(sizes[others], sizes[i])
-            for j, d in zip(others[near].tolist(), apart[near].tolist()):
+    place = np.arange(len(ids))
+    found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for size in np.unique(lengths):  # two sets are compared at the smaller of their sketches' sizes
+        own = place[lengths >= size]
+        folded = _fold([sketches[i] for i in own], int(size))
+        left = np.flatnonzero(blocks[own] == one)
+        right = np.flatnonzero(blocks[own] == two)
+        step = max(1, 4_000_000 // max(1, len(right) * folded.shape[1]))
+        for k in range(0, len(left), step):
+            x, y = left[k : k + step, None], right[None, :]
+            i, j = own[x], own[y]
+            near = np.bitwise_count(folded[x] ^ folded[y]).sum(axis=2) <= may_differ(sizes[i], sizes[j])
+            near &= (comps[i] != comps[j]) & (np.minimum(lengths[i], lengths[j]) == size)
+            near &= UNDER * np.minimum(sizes[i], sizes[j]) >= OVER * np.maximum(sizes[i], sizes[j])
+            if one == two:
+                near &= i < j
+            rows, cols = np.nonzero(near)
+            rows, cols = left[k + rows], right[cols]
+            apart = np.bitwise_count(folded[rows] ^ folded[cols]).sum(axis=1).tolist()
+            for i, j, d in zip(own[rows].tolist(), own[cols].tolist(), apart):
                 a, b = sorted((int(ids[i]), int(ids[j])))
-                if b not in denied[a]:
+                if (a, b) not in denied:
                     held = found.setdefault(tuple(sorted((int(comps[i]), int(comps[j])))), [])
-                    held.append((int(d), a, b))
+                    held.append((d, a, b))
                     if len(held) > 8 * PER_PAIR:
                         held[:] = sorted(held)[:PER_PAIR]
     pairs = [(a, b) for held in found.values() for _, a, b in sorted(held)[:PER_PAIR]]
@@ -305,8 +309,11 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
         at = known.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         at = staged(at, "members")
         runs_at = runs.join(at.select("key", "component"), "key")
-        open_runs = runs_at.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("place").alias("last")).where("x <> y")
-        open_runs = staged(open_runs.select("signature", (F.floor(F.col("last") / BLOCK)).cast("long").alias("blocks")), "open")
+        # two sets alone were compared already; runs of the same sets are one
+        same = [F.min("component").alias("x"), F.max("component").alias("y"), F.max("place").alias("last"), F.expr("bit_xor(xxhash64(key))").alias("who")]
+        open_runs = runs_at.groupBy("signature").agg(*same).where("x <> y AND last > 1")
+        open_runs = open_runs.groupBy("who", "last").agg(F.min("signature").alias("signature"))
+        open_runs = staged(open_runs.select("signature", F.floor(F.col("last") / BLOCK).cast("long").alias("blocks")), "open")
         if not open_runs.take(1):
             break
         denied = answers.where("NOT linked").groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("denied"))
