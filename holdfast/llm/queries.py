@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm import contamination, jaccard, licenses, mixing, quality, suffixes, vectors
+from holdfast.llm import contamination, jaccard, licenses, mixing, pages, quality, suffixes, vectors
 from holdfast.llm.common import table
 from holdfast.session import staged
 
@@ -30,6 +30,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extracted(table(spark, sf_dir, "pages"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -42,5 +46,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in [op1_license_scan, op2_quality_classifier, op4_vector_near_duplicates, op5_mix_sources, op7_ngram_jaccard_join, op9_suffix_array_dedup, op10_decontamination]}
+QUERIES: dict[str, Query] = {f.__name__: f for f in [op1_license_scan, op2_quality_classifier, op4_vector_near_duplicates, op5_mix_sources, op6_html_extraction, op7_ngram_jaccard_join, op9_suffix_array_dedup, op10_decontamination]}
 ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle()}
