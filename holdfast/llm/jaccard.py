@@ -41,7 +41,7 @@ THREE = 24  # sets up to this size use combinations of three shingles, up to FIR
 MISS = 21.0
 LEAST_BITS = 256  # of a sketch
 BLOCK = 1500  # sets compared at a time
-PER_PAIR = 3  # closest pairs verified at a time between two components of a block
+PER_PAIR = 200  # closest pairs verified in one round between two components of a block
 
 _U = np.uint64
 _MULTIPLIERS = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | _U(1)
@@ -248,7 +248,8 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(table: pa.Table) -> pa.Table:
-    """Closest pairs of each two components in a block, as far as sketches and earlier answers allow."""
+    """Closest pairs of each two components in a block, as far as sketches and earlier answers allow; `more`
+    if there are too many for one round."""
     ids, comps, sizes, blocks = (table.column(c).to_numpy() for c in ("id", "component", "n_shingles", "block"))
     sketches = table.column("sketch").to_pylist()
     one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
@@ -278,10 +279,10 @@ def _across(table: pa.Table) -> pa.Table:
                 if (a, b) not in denied:
                     held = found.setdefault(tuple(sorted((int(comps[i]), int(comps[j])))), [])
                     held.append((d, a, b))
-                    if len(held) > 8 * PER_PAIR:
-                        held[:] = sorted(held)[:PER_PAIR]
-    pairs = [(a, b) for held in found.values() for _, a, b in sorted(held)[:PER_PAIR]]
-    return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+                    if len(held) > 4 * PER_PAIR:
+                        held[:] = sorted(held)[: PER_PAIR + 1]
+    pairs = [(a, b, len(held) > PER_PAIR) for held in found.values() for _, a, b in sorted(held)[:PER_PAIR]]
+    return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64()), "more": pa.array([p[2] for p in pairs], pa.bool_())})
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -304,28 +305,31 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     pairs = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_close, "a long, b long")
     answers = staged(_verified(staged(pairs.distinct(), "pairs"), docs, id_column, text), "answers")
     # two sets with equal `key` but different `also` never stood in one run as two: check them as well
+    more = True
     while True:
         linked = components(answers.where("linked").select("a", "b"))
         at = known.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         at = staged(at, "members")
+        if not more:
+            break
         runs_at = runs.join(at.select("key", "component"), "key")
         # two sets alone were compared already; runs of the same sets are one
         same = [F.min("component").alias("x"), F.max("component").alias("y"), F.max("place").alias("last"), F.expr("bit_xor(xxhash64(key))").alias("who")]
         open_runs = runs_at.groupBy("signature").agg(*same).where("x <> y AND last > 1")
         open_runs = open_runs.groupBy("who", "last").agg(F.min("signature").alias("signature"))
         open_runs = staged(open_runs.select("signature", F.floor(F.col("last") / BLOCK).cast("long").alias("blocks")), "open")
-        if not open_runs.take(1):
-            break
         denied = answers.where("NOT linked").groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("denied"))
         members = runs.join(open_runs, "signature").select("signature", "key", F.floor(F.col("place") / BLOCK).cast("long").alias("block"), "blocks")
         members = members.join(at, "key").join(denied, "id", "left").select("signature", "block", "blocks", "id", "component", "n_shingles", "sketch", "denied")
         members = members.withColumn("other", F.explode(F.expr("sequence(0L, blocks)")))
         members = members.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
-        fresh = members.groupBy("signature", "one", "two").applyInArrow(_across, "a long, b long").distinct()
-        fresh = staged(fresh.join(answers.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if not fresh.take(1):
+        fresh = members.groupBy("signature", "one", "two").applyInArrow(_across, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+        fresh = staged(fresh, "pairs")
+        # links only merge components, so pairs between them that were all given out need no further round
+        n, more = fresh.agg(F.count("*"), F.max("more")).first()
+        if not n:
             break
-        answers = staged(answers.unionByName(_verified(fresh, docs, id_column, text)), "answers")
+        answers = staged(answers.unionByName(_verified(fresh.select("a", "b"), docs, id_column, text)), "answers")
     of_set = distinct.join(at.select("key", "id", "component"), ["key", "id"]).groupBy("key", "also").agg(F.min("component").alias("component"))
     out = sets.select("id", "n_shingles", "key", "also").join(of_set, ["key", "also"], "left")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))

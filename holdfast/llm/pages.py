@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LABELLED = 240  # labelled pages; the bound of the training sample
+LABELLED_CHARS = 50_000  # longest page taken for it
 EPOCHS = 60
 SEED = 6
 
@@ -345,9 +346,12 @@ def train(pages: list[str]) -> Model:
 
 
 def sample(pages: DataFrame) -> list[str]:
-    """At most LABELLED pages with an article, the first in the order of a hash of their id and text."""
-    rows = pages.where("html IS NOT NULL AND contains(html, '<article')").select(F.xxhash64(F.lit(SEED), "page_id", F.length("html")).alias("k"), F.substring("html", 1, 100_000).alias("html"))
-    return [r.html for r in rows.orderBy("k", "html").limit(LABELLED).collect()]
+    """At most LABELLED pages with an article and at most LABELLED_CHARS long, the first by a hash of id and
+    length; only their ids are sorted."""
+    fit = pages.where(f"page_id IS NOT NULL AND length(html) <= {LABELLED_CHARS} AND contains(html, '<article')")
+    ids = [r.page_id for r in fit.select("page_id", F.xxhash64(F.lit(SEED), "page_id", F.length("html")).alias("k")).orderBy("k", "page_id").limit(LABELLED).collect()]
+    rows = fit.where(F.col("page_id").isin(ids)).groupBy("page_id").agg(F.min("html").alias("html")).collect() if ids else []
+    return [r.html for r in sorted(rows, key=lambda r: r.page_id)]
 
 
 def extracted(pages: DataFrame, model: Model | None = None) -> DataFrame:
