@@ -41,6 +41,7 @@ THREE = 24  # sets up to this size use combinations of three shingles, up to FIR
 MISS = 21.0
 LEAST_BITS = 256  # of a sketch
 BLOCK = 1500  # sets compared at a time
+P, Q = UNDER + OVER, UNDER - OVER  # sets are linked if P * |difference| <= Q * (sum of sizes)
 PER_PAIR = 200  # closest pairs verified in one round between two components of a block
 
 _U = np.uint64
@@ -65,9 +66,9 @@ def shingles(texts: Texts) -> list[np.ndarray]:
     return out
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both > 0 and UNDER * both >= OVER * (len(a) + len(b) - both)
+def difference(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of shingles that only one of two sets has."""
+    return len(a) + len(b) - 2 * len(np.intersect1d(a, b, assume_unique=True))
 
 
 @cache
@@ -165,7 +166,7 @@ def _fold(sketches: list[bytes], size: int) -> np.ndarray:
 
 def may_differ(sizes_a: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
     """Most shingles in which two similar sets of these sizes differ."""
-    return (sizes_a + sizes_b) * (UNDER - OVER) // (UNDER + OVER)
+    return (sizes_a + sizes_b) * Q // P
 
 
 def described(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -219,7 +220,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(a, b, linked) of pairs of documents, decided on their whole shingle sets."""
+    """(a, b, differ, linked) of pairs of documents, decided on their whole shingle sets."""
     ids = staged(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
     texts = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(few(ids), "id", "left_semi")
     left, right = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
@@ -229,22 +230,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str) -> D
             for at in range(0, len(batch), 200):
                 part = batch.slice(at, 200)
                 sets = [[s for chunk in text_chunks(part.column(i)) for s in shingles(chunk)] for i in (2, 3)]
-                linked = [similar(a, b) for a, b in zip(*sets)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+                differ = np.array([difference(a, b) for a, b in zip(*sets)], dtype=np.int64)
+                linked = differ <= may_differ(*(np.array([len(s) for s in side], dtype=np.int64) for side in sets))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(differ), pa.array(linked)], names=["a", "b", "differ", "linked"])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    return joined.mapInArrow(run, "a long, b long, differ long, linked boolean").groupBy("a", "b").agg(F.min("differ").alias("differ"), F.max("linked").alias("linked"))
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, n_a, n_b, sketch_a, sketch_b) that their sketches do not rule out."""
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs with `apart`, a lower bound of their difference from sketches and sizes."""
     for batch in batches:
-        keep = []
-        n_a, n_b = (np.asarray(batch.column(i)) for i in (2, 3))
-        for x, y, most in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), may_differ(n_a, n_b)):
+        apart = []
+        n_a, n_b = (np.asarray(batch.column(i)) for i in (4, 5))
+        for x, y, least in zip(batch.column(6).to_pylist(), batch.column(7).to_pylist(), np.abs(n_a - n_b).tolist()):
             both = _fold([x, y], min(len(x), len(y)))
-            keep.append(int(np.bitwise_count(both[0] ^ both[1]).sum()) <= most)
-        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            apart.append(max(least, int(np.bitwise_count(both[0] ^ both[1]).sum())))
+        close = np.array(apart, dtype=np.int64) <= may_differ(n_a, n_b)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(apart, pa.int64()), pa.array(close)], names=["first", "key", "a", "b", "apart", "close"])
 
 
 def _across(table: pa.Table) -> pa.Table:
@@ -282,7 +285,8 @@ def _across(table: pa.Table) -> pa.Table:
                     if len(held) > 4 * PER_PAIR:
                         held[:] = sorted(held)[: PER_PAIR + 1]
     pairs = [(a, b, len(held) > PER_PAIR) for held in found.values() for _, a, b in sorted(held)[:PER_PAIR]]
-    return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64()), "more": pa.array([p[2] for p in pairs], pa.bool_())})
+    columns = [pa.array([table.column("signature")[0].as_py()] * len(pairs), pa.int64()), *(pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)), pa.array([p[2] for p in pairs], pa.bool_())]
+    return pa.table(columns, names=["signature", "a", "b", "more"])
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -300,11 +304,13 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
 
     known = distinct.select("key", "id", "n_shingles", "sketch")
     side = lambda x: known.toDF(f"key_{x}", x, f"n_{x}", f"sketch_{x}")
-    stars = runs.where("key <> first").select(F.col("first").alias("key_a"), F.col("key").alias("key_b")).distinct()
-    pairs = stars.join(side("a"), "key_a").join(side("b"), "key_b").where(f"a <> b AND {UNDER} * least(n_a, n_b) >= {OVER} * greatest(n_a, n_b)")
-    pairs = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_close, "a long, b long")
-    answers = staged(_verified(staged(pairs.distinct(), "pairs"), docs, id_column, text), "answers")
-    # two sets with equal `key` but different `also` never stood in one run as two: check them as well
+    stars = runs.where("key <> first").select("first", "key").distinct()
+    stars = stars.join(side("a").withColumnRenamed("key_a", "first"), "first").join(side("b").withColumnRenamed("key_b", "key"), "key").where("a <> b")
+    stars = stars.selectExpr("first", "key", "least(a, b) AS a", "greatest(a, b) AS b", "n_a", "n_b", "sketch_a", "sketch_b")
+    stars = staged(stars.mapInArrow(_apart, "first long, key long, a long, b long, apart long, close boolean"), "stars")
+    answers = staged(_verified(stars.where("close").select("a", "b").distinct(), docs, id_column, text), "answers")
+    # how far each set of a run is from the run's first: exactly, or at least
+    from_first = stars.join(answers, ["a", "b"], "left").selectExpr("first", "key", "coalesce(differ, apart) AS apart", "coalesce(linked, false) AS direct")
     more = True
     while True:
         linked = components(answers.where("linked").select("a", "b"))
@@ -312,24 +318,34 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
         at = staged(at, "members")
         if not more:
             break
-        runs_at = runs.join(at.select("key", "component"), "key")
-        # two sets alone were compared already; runs of the same sets are one
+        # By the triangle inequality a set x that is not linked to the first f is not linked to a set y that is if
+        # P |f x| - Q |x| > P |f y| + Q |y|, as x and y are linked if P |x y| <= Q (|x| + |y|).
+        near = runs.join(at.select("key", "id", "n_shingles", "component"), "key").join(from_first, ["first", "key"], "left")
+        direct = "(key = first OR coalesce(direct, false))"
+        near = near.selectExpr("signature", "key", "place", "id", "component", f"{direct} AS direct", f"{P} * coalesce(apart, 0) + CASE WHEN {direct} THEN {Q} ELSE -{Q} END * n_shingles AS reach")
+        near = staged(near, "near")
+        asked = near.groupBy("signature").agg(F.expr("min(CASE WHEN NOT direct THEN reach END) AS least"), F.expr("max(CASE WHEN direct THEN reach END) AS most"), F.expr("count_if(NOT direct) AS others"))
+        asked = asked.where("others > 0").withColumnRenamed("signature", "of")
+        may_link = F.expr("CASE WHEN direct THEN reach >= least ELSE reach <= most OR others > 1 END")
+        kept = staged(near.join(asked, (F.col("signature") == F.col("of")) & may_link).select("signature", "key", "place", "component"), "kept")
+        # runs of the same sets are one
         same = [F.min("component").alias("x"), F.max("component").alias("y"), F.max("place").alias("last"), F.expr("bit_xor(xxhash64(key))").alias("who")]
-        open_runs = runs_at.groupBy("signature").agg(*same).where("x <> y AND last > 1")
-        open_runs = open_runs.groupBy("who", "last").agg(F.min("signature").alias("signature"))
+        open_runs = kept.groupBy("signature").agg(*same).where("x <> y").groupBy("who", "last").agg(F.min("signature").alias("signature"))
         open_runs = staged(open_runs.select("signature", F.floor(F.col("last") / BLOCK).cast("long").alias("blocks")), "open")
         denied = answers.where("NOT linked").groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("denied"))
-        members = runs.join(open_runs, "signature").select("signature", "key", F.floor(F.col("place") / BLOCK).cast("long").alias("block"), "blocks")
+        members = kept.join(open_runs, "signature").select("signature", "key", F.floor(F.col("place") / BLOCK).cast("long").alias("block"), "blocks")
         members = members.join(at, "key").join(denied, "id", "left").select("signature", "block", "blocks", "id", "component", "n_shingles", "sketch", "denied")
         members = members.withColumn("other", F.explode(F.expr("sequence(0L, blocks)")))
         members = members.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
-        fresh = members.groupBy("signature", "one", "two").applyInArrow(_across, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+        fresh = members.groupBy("signature", "one", "two").applyInArrow(_across, "signature long, a long, b long, more boolean")
         fresh = staged(fresh, "pairs")
-        # links only merge components, so pairs between them that were all given out need no further round
+        # links only merge components, so only runs that did not give out all pairs between them need another round
         n, more = fresh.agg(F.count("*"), F.max("more")).first()
         if not n:
             break
-        answers = staged(answers.unionByName(_verified(fresh.select("a", "b"), docs, id_column, text)), "answers")
+        again = staged(fresh.where("more").select("signature").distinct(), "again")
+        runs = runs.join(few(again), "signature", "left_semi")
+        answers = staged(answers.unionByName(_verified(fresh.select("a", "b").distinct(), docs, id_column, text)), "answers")
     of_set = distinct.join(at.select("key", "id", "component"), ["key", "id"]).groupBy("key", "also").agg(F.min("component").alias("component"))
     out = sets.select("id", "n_shingles", "key", "also").join(of_set, ["key", "also"], "left")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
