@@ -9,7 +9,6 @@ labelled findings; `labelled` builds a set by rule, and any other frame of texts
 from __future__ import annotations
 
 import base64
-import hashlib
 import random
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -22,7 +21,7 @@ from holdfast.llm.common import SPACED_WORD
 from holdfast.llm.links import few
 from holdfast.session import staged
 
-CANDIDATE = r"(?=[A-Za-z_+/=.-]*[0-9])[A-Za-z0-9_+/=.-]{16,}"
+CANDIDATE = r"(?=[A-Za-z_+/.-]*[0-9])[A-Za-z0-9_+/.-]{16,}={0,2}"
 AROUND = 3  # words looked at on either side
 TREES, DEPTH, SEED = 40, 8, 8
 ACCEPT = 0.5
