@@ -255,7 +255,7 @@ def _across(table: pa.Table) -> pa.Table:
     if there are too many for one round."""
     ids, comps, sizes, blocks = (table.column(c).to_numpy() for c in ("id", "component", "n_shingles", "block"))
     sketches = table.column("sketch").to_pylist()
-    one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
+    signature, one, two = (table.column(c)[0].as_py() for c in ("signature", "one", "two"))
     denied = {(i, j) for i, d in zip(ids.tolist(), table.column("denied").to_pylist()) for j in d or ()}
     lengths = np.array([len(x) for x in sketches])
     place = np.arange(len(ids))
@@ -284,9 +284,9 @@ def _across(table: pa.Table) -> pa.Table:
                     held.append((d, a, b))
                     if len(held) > 4 * PER_PAIR:
                         held[:] = sorted(held)[: PER_PAIR + 1]
-    pairs = [(a, b, len(held) > PER_PAIR) for held in found.values() for _, a, b in sorted(held)[:PER_PAIR]]
-    columns = [pa.array([table.column("signature")[0].as_py()] * len(pairs), pa.int64()), *(pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)), pa.array([p[2] for p in pairs], pa.bool_())]
-    return pa.table(columns, names=["signature", "a", "b", "more"])
+    pairs = [(signature, *both, a, b, len(held) > PER_PAIR) for both, held in found.items() for _, a, b in sorted(held)[:PER_PAIR]]
+    columns = [pa.array([p[i] for p in pairs], pa.int64()) for i in range(5)]
+    return pa.table([*columns, pa.array([p[5] for p in pairs], pa.bool_())], names=["signature", "x", "y", "a", "b", "more"])
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -337,15 +337,18 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
         members = members.join(at, "key").join(denied, "id", "left").select("signature", "block", "blocks", "id", "component", "n_shingles", "sketch", "denied")
         members = members.withColumn("other", F.explode(F.expr("sequence(0L, blocks)")))
         members = members.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
-        fresh = members.groupBy("signature", "one", "two").applyInArrow(_across, "signature long, a long, b long, more boolean")
+        fresh = members.groupBy("signature", "one", "two").applyInArrow(_across, "signature long, x long, y long, a long, b long, more boolean")
         fresh = staged(fresh, "pairs")
-        # links only merge components, so only runs that did not give out all pairs between them need another round
         n, more = fresh.agg(F.count("*"), F.max("more")).first()
         if not n:
             break
-        again = staged(fresh.where("more").select("signature").distinct(), "again")
-        runs = runs.join(few(again), "signature", "left_semi")
         answers = staged(answers.unionByName(_verified(fresh.select("a", "b").distinct(), docs, id_column, text)), "answers")
+        if more:
+            # links only merge components: another round is for runs with two that gave out some of their pairs, none linked
+            unsettled = fresh.where("more").join(answers, ["a", "b"]).groupBy("signature", "x", "y").agg(F.max("linked").alias("linked"))
+            again = staged(unsettled.where("NOT linked").select("signature").distinct(), "again")
+            more = bool(again.take(1))
+            runs = runs.join(few(again), "signature", "left_semi")
     of_set = distinct.join(at.select("key", "id", "component"), ["key", "id"]).groupBy("key", "also").agg(F.min("component").alias("component"))
     out = sets.select("id", "n_shingles", "key", "also").join(of_set, ["key", "also"], "left")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
