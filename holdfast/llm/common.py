@@ -16,7 +16,7 @@ SPACED_WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Bytes of text handled at a time inside a task.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 250_000
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)

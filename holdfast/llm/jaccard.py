@@ -40,7 +40,7 @@ FIRST_BAND = 64
 THREE = 24  # sets up to this size use combinations of three shingles, up to FIRST_BAND of two
 MISS = 21.0
 LEAST_BITS = 256  # of a sketch
-BLOCK = 1500  # sets compared at a time
+BLOCK = 6000  # sets of a run that one task compares with as many others
 P, Q = UNDER + OVER, UNDER - OVER  # sets are linked if P * |difference| <= Q * (sum of sizes)
 PER_PAIR = 200  # closest pairs verified in one round between two components of a block
 
