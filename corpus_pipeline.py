@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm import contamination, jaccard, mixing, quality, secret_scan
 from holdfast.llm.common import table
+from holdfast.llm.links import few
 from holdfast.session import staged
 
 
@@ -36,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     picked = mixing.mixed(docs).where("taken > 0").groupBy("doc_id", "size").agg(F.max("taken").alias("taken"), F.max("target").alias("target"))
     picked = staged(picked.toDF("mix_id", "mix_size", "mix_taken", "mix_target"), "picked")
     same = docs["doc_id"].eqNullSafe(picked["mix_id"]) & (mixing.n_words(docs["text"]) == picked["mix_size"])
-    return docs.join(picked, same).select(*[docs[c] for c in docs.columns], "mix_taken", "mix_target")
+    return docs.join(few(picked), same).select(*[docs[c] for c in docs.columns], "mix_taken", "mix_target")
 
 
 STAGES = [
