@@ -66,9 +66,12 @@ def content_name(order_id: str, event_type: str, occurred_at: str, position: str
     return f"CASE WHEN {is_filled(order_id)} THEN {content} ELSE {position} END"
 
 
-def order_offset_name(order_id: str, offset: str) -> str:
-    """The text of profiles that name an event by its order and position."""
-    return f"concat_ws('_', {order_id}, CAST({offset} AS string))"
+def order_offset_name(order_id: str, topic: str, partition: str, offset: str) -> str:
+    """The text of profiles that name an event by its order and position.
+
+    An offset alone repeats in every partition, and an order may have no id.
+    """
+    return f"concat_ws('_', coalesce({order_id}, ''), {topic}, CAST({partition} AS string), CAST({offset} AS string))"
 
 
 def ledger_status(current_status: str, event_type: str) -> str:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from holdfast.functions.normalize import (
-    content_name, default_stage, default_status, event_type_of, first_filled, is_filled, ledger_status, name_digest, order_offset_name,
+    content_name, default_stage, default_status, default_type, event_type_of, first_filled, is_filled, ledger_status, name_digest, order_offset_name,
     parse_event_time, uuid5,
 )
 from holdfast.functions.times import seconds_between
@@ -45,6 +45,7 @@ def normalize(good: DataFrame) -> DataFrame:
         "current_stage": "record.current_stage",
         "current_status": "record.current_status",
         "event_type": event_type_of("record"),
+        "given_type": first_filled("record.last_event_type", "record.event_type"),
         "occurred_at": parse_event_time(first_filled("record.last_occurred_at", "record.occurred_at"), "ingested_at"),
         "created_at": parse_event_time("record.created_at", "ingested_at"),
         "event_produced_at": parse_event_time("record.event_produced_at", "ingested_at"),
@@ -91,10 +92,12 @@ def with_event_id(rows: DataFrame, profile: str) -> DataFrame:
     elif profile == "ingest":
         new = {"ledger_type": "event_type", "ledger_status": ledger_status("current_status", "event_type")}
     else:
-        new = {"ledger_type": "'ORDER_CREATED'" if profile == "cascade" else "event_type", "ledger_status": "current_status"}
+        # Without a type the anchored ledger shows the stage, the order the default type.
+        anchored_type = f"coalesce(given_type, {default_stage('current_stage')})"
+        new = {"ledger_type": "'ORDER_CREATED'" if profile == "cascade" else anchored_type, "ledger_status": "current_status"}
     rows = with_columns(rows, new)
     given = is_filled("given_event_id") if profile in ("ingest", "paid_anomaly") else "false"
-    name = order_offset_name("order_id", "offset")
+    name = order_offset_name("order_id", "topic", "partition", "offset")
     if profile in ("ingest", "paid_anomaly"):
         name = content_name("order_id", "ledger_type", "occurred_at", _POSITION)
     digested = rows.selectExpr("*", f"{name_digest(name)} AS _digest")
@@ -113,15 +116,18 @@ class Intake:
     held: DataFrame
 
 
-def snapshot_input(rows: DataFrame, profile: str) -> DataFrame:
-    """Classified rows as the writes a profile makes to the snapshot."""
+def snapshot_input(rows: DataFrame, profile: str, stored_at: str = "ingested_at") -> DataFrame:
+    """Classified rows as the writes a profile makes to the snapshot.
+
+    ``stored_at`` is the moment of the write, an expression; nothing here reads a clock.
+    """
     if profile in ("ingest", "paid_anomaly"):
         status = "current_status" if profile == "ingest" else "ledger_status"
         new = {"last_event_type": "event_type", "last_occurred_at": "occurred_at", "hold_reason_code": "hold_reason", "current_status": status}
     else:
-        last_type = "'ORDER_CREATED'" if profile == "cascade" else "event_type"
+        last_type = "'ORDER_CREATED'" if profile == "cascade" else default_type("given_type")
         new = {"last_event_type": last_type, "last_occurred_at": "created_at", "hold_reason_code": "hold_reason"}
-        new |= latency_columns("event_produced_at", "ingested_at", "ingested_at")
+        new |= latency_columns("event_produced_at", "ingested_at", stored_at)
     return with_columns(rows, new)
 
 
@@ -135,8 +141,10 @@ def ledger_input(rows: DataFrame, profile: str) -> DataFrame:
     )
 
 
-def process(messages: DataFrame, products: DataFrame | None, profile: str, stored_ledger: DataFrame | None = None, **options) -> Intake:
-    """Runs a profile over a batch of envelopes.
+def process(
+    messages: DataFrame, products: DataFrame | None, profile: str, stored_ledger: DataFrame | None = None, stored_at: str = "ingested_at", **options
+) -> Intake:
+    """Runs a profile over a batch of envelopes; ``stored_at`` is the moment of the write.
 
     Raw rows, ledger, snapshot and rejects are separate frames, so a reject never costs a
     raw or ledger row. Rows classified once are staged, since several outputs read them.
@@ -146,7 +154,7 @@ def process(messages: DataFrame, products: DataFrame | None, profile: str, store
     source = {"source": "'ANOMALY_CONSUMER'", "final_status": "ledger_status", "hold_reason": "hold_reason"}
     raw = land_raw(rows, source if profile == "paid_anomaly" else None)
 
-    writes = snapshot_input(rows, profile)
+    writes = snapshot_input(rows, profile, stored_at)
     orders = snapshot.fold_orders(writes, profile)
     entries = ledger_input(rows, profile)
     rejects = snapshot.rejected_rows(writes) if profile in ("ingest", "paid_anomaly") else None

@@ -5,11 +5,9 @@ Nulls sort first in descending time, and the row's key breaks ties.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.vocabulary import quoted
-
 # Allowed limits (smallest, largest) of each list.
 LIMITS = {
     "recent_orders": (1, 200),
@@ -39,13 +37,13 @@ def _newest(df: DataFrame, time: str, key: str, limit: int) -> DataFrame:
     return df.orderBy(F.desc_nulls_first(time), F.desc(key)).limit(limit)
 
 
-def _equals(column: str, value: str) -> str:
-    return f"{column} = {quoted([value])}"
+def _equals(column: str, value: str) -> Column:
+    return F.col(column) == F.lit(value)
 
 
-def _contains(column: str, text: str) -> str:
-    """Case-insensitive containment; % and _ in the text act as wildcards."""
-    return f"{column} ILIKE {quoted(['%' + text + '%'])}"
+def _contains(column: str, text: str) -> Column:
+    """Case-insensitive containment; % and _ in the text act as wildcards, a backslash stands for itself."""
+    return F.col(column).ilike("%" + text.replace("\\", "\\\\") + "%")
 
 
 def recent_orders(orders: DataFrame, limit: int = 20) -> DataFrame:

@@ -20,11 +20,18 @@ RETRY_NOTE = "retry requested"
 _OPS = {"ops_status": "new_status", "ops_note": "note", "ops_operator": "operator", "ops_updated_at": "at"}
 
 
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """Requests that are no action, with what is wrong: BAD_KEY or UNKNOWN_REQUEST."""
+    known = quoted(STATE_OF_REQUEST)
+    wrong = f"CASE WHEN {alert_kind('alert_key')} IS NULL THEN 'BAD_KEY' WHEN NOT coalesce(request IN ({known}), false) THEN 'UNKNOWN_REQUEST' END"
+    return requests.selectExpr("seq", "alert_key", "request", f"{wrong} AS error_type").where("error_type IS NOT NULL")
+
+
 def requests_to_actions(requests: DataFrame) -> DataFrame:
     """Requests (seq, alert_key, request, note, operator, at) as actions with their kind.
 
-    Adds ``kind`` and ``target``; requests with a bad key or an unknown verb are dropped.
-    A retry without a note gets the standard one.
+    Adds ``kind`` and ``target``; requests with a bad key or an unknown verb are in
+    :func:`rejected_requests`. A retry without a note gets the standard one.
     """
     states = quoted(x for pair in STATE_OF_REQUEST.items() for x in pair)
     parsed = requests.selectExpr(

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from holdfast.functions.normalize import held_status, is_filled
 from holdfast.functions.times import micros, span
@@ -63,11 +64,9 @@ def with_stock(df: DataFrame, products: DataFrame) -> DataFrame:
     No broadcast hint: the planner and AQE broadcast the list only when it is small, and
     split a hot product's partition otherwise.
     """
-    return df.sparkSession.sql(
-        "SELECT d.*, p.product_id IS NOT NULL AS _known, p.stock AS _stock FROM {df} d LEFT JOIN {products} p ON d.product_id = p.product_id",
-        df=df,
-        products=products,
-    )
+    listed = products.select(F.col("product_id").alias("_product_id"), F.col("stock").alias("_stock"))
+    joined = df.join(listed, F.col("product_id") == F.col("_product_id"), "left")
+    return joined.select(*df.columns, F.col("_product_id").isNotNull().alias("_known"), "_stock")
 
 
 def rule_stock_cascade(known: str = "_known", stock: str = "_stock") -> str:
@@ -133,14 +132,19 @@ def classify_cascade(
     """Adds ``reason``: required fields, stock, user burst, product burst; first hit wins.
 
     The user count sees only rows that passed the field and stock rules, the product
-    count only rows that also passed the user rule.
+    count only rows that also passed the user rule. User and product are compared, looked
+    up and counted without the blanks around them; the columns keep them.
     """
     cols = df.columns
+    raw = {c: f"_raw_{c}" for c in ("user_id", "product_id")}
+    bare = [f"trim({c}) AS {c}" if c in raw else c for c in cols]
+    df = df.selectExpr(*bare, *[f"{c} AS {kept}" for c, kept in raw.items()])
+    cols, shown = df.columns, [f"{raw[c]} AS {c}" if c in raw else c for c in cols]
     step = with_stock(df, products).selectExpr(*cols, f"coalesce({rule_required()}, {rule_stock_cascade()}) AS _static")
     step = burst_flag(step, ["user_id"], user_burst, "_user", "_static IS NULL", time, mode, df, split)
     step = burst_flag(step, ["product_id"], product_burst, "_product", "(_static IS NULL AND NOT _user)", time, mode, df, split)
     bursts = f"CASE WHEN _user THEN '{FRAUD_USER}' WHEN _product THEN '{FRAUD_PRODUCT}' END"
-    return step.selectExpr(*cols, f"coalesce(_static, {bursts}) AS reason")
+    return step.selectExpr(*shown, f"coalesce(_static, {bursts}) AS reason")
 
 
 def classify_paid(

@@ -51,6 +51,27 @@ class AnchoredWindow:
             i = end
         return flags, state if anchor is None else [anchor, seen]
 
+    def walk_arrivals(self, state: list | None, times: np.ndarray) -> tuple[np.ndarray, list | None]:
+        """The same for rows in arrival order, whose times may go back: a row before the
+        window's end belongs to it, however early. Only rows that open a window are stepped on."""
+        flags = np.zeros(len(times), dtype=bool)
+        anchor, seen = state or (None, 0)
+        i = 0
+        while i < len(times):
+            if anchor is None or times[i] > anchor + self.width:
+                anchor, seen = int(times[i]), 0
+            end, block = i, 64
+            while end < len(times):
+                late = np.flatnonzero(times[end:end + block] > anchor + self.width)
+                if len(late):
+                    end += int(late[0])
+                    break
+                end, block = min(len(times), end + block), block * 2
+            flags[min(end, i + max(0, self.limit - seen)):end] = True
+            seen += end - i
+            i = end
+        return flags, state if anchor is None else [anchor, seen]
+
     def summarize(self, times: np.ndarray) -> list:
         """[rows, steps]: which final window each possible first new window leads to."""
         n = len(times)

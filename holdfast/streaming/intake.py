@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from holdfast.operators import intake, snapshot
@@ -34,14 +36,22 @@ def current_orders(updates: DataFrame) -> DataFrame:
     )
 
 
-def intake_batch(messages: DataFrame, batch_id: int, products: DataFrame | None, profile: str, out: str) -> None:
+Products = DataFrame | Callable[[SparkSession], DataFrame] | None
+
+
+def intake_batch(messages: DataFrame, batch_id: int, products: Products, profile: str, out: str) -> None:
     """Processes one micro-batch; every table gets the batch's rows under its id.
 
+    ``products`` is a frame, or a reader called with the batch's session, which then sees
+    the list as it is at that batch.
+
     Raw rows and ledger are written before the snapshot, and rejected rows are rows of
     their own table. A repeated batch overwrites what it wrote and reads only older
     batches, so it changes nothing twice.
     """
     spark = messages.sparkSession
+    if callable(products):
+        products = products(spark)
     decoded = staged(decode_messages(messages), "decoded")
     good, errors = split_bad(decoded)
     rows = staged(intake.with_event_id(intake.classify(intake.normalize(good), products, profile), profile), "classified")
@@ -60,7 +70,7 @@ def intake_batch(messages: DataFrame, batch_id: int, products: DataFrame | None,
     write_batch(alert_payloads(rows, LINK_PREFIX, "ingested_at"), batch_id, f"{out}/alerts")
 
 
-def run_intake(messages: DataFrame, products: DataFrame | None, profile: str, out: str, checkpoint: str) -> None:
+def run_intake(messages: DataFrame, products: Products, profile: str, out: str, checkpoint: str) -> None:
     """Runs the intake over all messages there are.
 
     Rules on single rows and the snapshot continue across batches. Burst verdicts here

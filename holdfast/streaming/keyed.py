@@ -57,7 +57,8 @@ class BurstState(JsonState):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values: Any) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values("seq")
-        flags, state = self.fold.walk(self.load(), batch["time_us"].to_numpy())
+        walk = getattr(self.fold, "walk_arrivals", self.fold.walk)
+        flags, state = walk(self.load(), batch["time_us"].to_numpy())
         self.save(state)
         yield batch[self.columns].assign(**{self.out: flags})
 

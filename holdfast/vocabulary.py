@@ -51,6 +51,7 @@ SNAPSHOT_COLUMNS = ["backlog", "holds_now", "late_orders"]
 EVENT_COLUMNS = ["event_total", "event_errors"]
 ALERT_COLUMNS = list(ALERT_COUNTERS.values())
 
+# The fields of the wire format.
 _MESSAGE_FIELDS = [
     "event_id", "order_id", "user_id", "customer_id", "product_id", "product_name",
     "shipping_address", "address", "current_stage", "current_status",
@@ -65,7 +66,8 @@ MESSAGE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in _MESSAG
 
 def quoted(values: Iterable[str | None]) -> str:
     """Values as a comma-separated list of SQL literals."""
-    return ", ".join("NULL" if v is None else "'" + v.replace("'", "\\'") + "'" for v in values)
+    escaped = lambda v: v.replace("\\", "\\\\").replace("'", "\\'")
+    return ", ".join("NULL" if v is None else f"'{escaped(v)}'" for v in values)
 
 
 def stage_of(status: str) -> str:
