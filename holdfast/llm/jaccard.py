@@ -11,7 +11,8 @@ both; the hash of such a combination is a signature, and similar sets share one.
   e^-`MISS`; pairs above it are safer still.
 
 Sets that share a signature are candidates. Copies of one set are a single candidate. In each signature's
-run, all sets are compared to the run's first; after the components of these links are known, only runs
+run, all sets are compared to the run's head, the set that shares most signatures with others (in a group of
+edited copies the least edited one); after the components of these links are known, only runs
 that still hold several components are compared further, between components, in blocks. A parity sketch of
 the sets bounds their difference from below and discards unlike pairs; what passes is verified on the whole
 shingle sets. Rounds go on until no unverified pair is left, so no link between different texts is lost and
@@ -39,7 +40,8 @@ OVER, UNDER = 75, 100  # similarity: UNDER * |both| >= OVER * |either|
 FIRST_BAND = 64
 THREE = 24  # sets up to this size use combinations of three shingles, up to FIRST_BAND of two
 MISS = 21.0
-LEAST_BITS = 256  # of a sketch
+BITS = 8  # of a sketch, per shingle at the lower end of the band
+LEAST_BITS = BITS * FIRST_BAND
 BLOCK = 6000  # sets of a run that one task compares with as many others
 P, Q = UNDER + OVER, UNDER - OVER  # sets are linked if P * |difference| <= Q * (sum of sizes)
 PER_PAIR = 200  # closest pairs verified in one round between two components of a block
@@ -147,8 +149,8 @@ def signatures(s: np.ndarray) -> np.ndarray:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parities of the shingles per hash bucket, four buckets and more per shingle of the band's lower end."""
-    bits = max(LEAST_BITS, 4 * _bands(len(s))[0] if len(s) >= FIRST_BAND else 0)
+    """Parities of the shingles per hash bucket, `BITS` buckets per shingle of the band's lower end."""
+    bits = BITS * _bands(len(s))[0] if len(s) >= FIRST_BAND else LEAST_BITS
     return np.packbits(np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").astype(np.uint8).tobytes()
 
 
@@ -193,30 +195,29 @@ def described(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (signature, key), sorted, to the rows of signatures that several keys share, each with the run's
-    first key and its place in the run. Streams: only one batch and the end of the last are held."""
-    held: tuple[int, int, int, int] | None = None  # signature, first key, last key, place of the last key
+    """Rows (signature, key), sorted, to the rows of signatures that several keys share, each with
+    its place in the run. Streams: only one batch and the end of the last are held."""
+    held: tuple[int, int, int] | None = None  # signature, last key, place of the last key
     for batch in batches:
         s, k = (np.asarray(batch.column(i)) for i in (0, 1))
         if not len(s):
             continue
         if held:
-            s, k = np.concatenate([[held[0]], s]), np.concatenate([[held[2]], k])
+            s, k = np.concatenate([[held[0]], s]), np.concatenate([[held[1]], k])
         fresh = np.ones(len(s), dtype=bool)
         fresh[1:] = (np.diff(s) != 0) | (np.diff(k) != 0)
         s, k = s[fresh], k[fresh]
         starts = np.flatnonzero(np.concatenate([[True], np.diff(s) != 0]))
         lengths = np.diff(np.append(starts, len(s)))
-        first, place = np.repeat(k[starts], lengths), np.arange(len(s)) - np.repeat(starts, lengths)
+        place = np.arange(len(s)) - np.repeat(starts, lengths)
         if held:  # the first run goes on from the batch before; its first row was given out then, if place > 0
-            first[: lengths[0]] = held[1]
-            place[: lengths[0]] += held[3]
+            place[: lengths[0]] += held[2]
         several = np.repeat(lengths > 1, lengths)
         several[: lengths[0]] |= place[lengths[0] - 1] > 0
-        if held and held[3] > 0:
+        if held and held[2] > 0:
             several[0] = False
-        held = (int(s[-1]), int(first[-1]), int(k[-1]), int(place[-1]))
-        yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (s, k, first, place)], names=["signature", "key", "first", "place"])
+        held = (int(s[-1]), int(k[-1]), int(place[-1]))
+        yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (s, k, place)], names=["signature", "key", "place"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -300,7 +301,11 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     distinct = sets.where("n_shingles > 0").groupBy("key", "also").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     distinct = staged(distinct.where("id IS NOT NULL"), "distinct")
     rows = sets.select(F.explode("signatures").alias("signature"), "key").repartition("signature").sortWithinPartitions("signature", "key")
-    runs = staged(rows.mapInArrow(_runs, "signature long, key long, first long, place long"), "runs")
+    runs = staged(rows.mapInArrow(_runs, "signature long, key long, place long"), "runs")
+    # the head of a run is the set that shares most signatures
+    shared = runs.groupBy("key").agg(F.count("*").alias("shared"))
+    heads = runs.join(shared, "key").groupBy("signature").agg(F.max(F.struct("shared", "key"))["key"].alias("first"))
+    runs = staged(runs.join(heads, "signature"), "led")
 
     known = distinct.select("key", "id", "n_shingles", "sketch")
     side = lambda x: known.toDF(f"key_{x}", x, f"n_{x}", f"sketch_{x}")
@@ -309,16 +314,16 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     stars = stars.selectExpr("first", "key", "least(a, b) AS a", "greatest(a, b) AS b", "n_a", "n_b", "sketch_a", "sketch_b")
     stars = staged(stars.mapInArrow(_apart, "first long, key long, a long, b long, apart long, close boolean"), "stars")
     answers = staged(_verified(stars.where("close").select("a", "b").distinct(), docs, id_column, text), "answers")
-    # how far each set of a run is from the run's first: exactly, or at least
+    # how far each set of a run is from the run's head: exactly, or at least
     from_first = stars.join(answers, ["a", "b"], "left").selectExpr("first", "key", "coalesce(differ, apart) AS apart", "coalesce(linked, false) AS direct")
     more = True
     while True:
         linked = components(answers.where("linked").select("a", "b"))
-        at = known.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        at = known.drop("sketch").join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         at = staged(at, "members")
         if not more:
             break
-        # By the triangle inequality a set x that is not linked to the first f is not linked to a set y that is if
+        # By the triangle inequality a set x that is not linked to the head f is not linked to a set y that is if
         # P |f x| - Q |x| > P |f y| + Q |y|, as x and y are linked if P |x y| <= Q (|x| + |y|).
         near = runs.join(at.select("key", "id", "n_shingles", "component"), "key").join(from_first, ["first", "key"], "left")
         direct = "(key = first OR coalesce(direct, false))"
@@ -334,7 +339,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
         open_runs = staged(open_runs.select("signature", F.floor(F.col("last") / BLOCK).cast("long").alias("blocks")), "open")
         denied = answers.where("NOT linked").groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("denied"))
         members = kept.join(open_runs, "signature").select("signature", "key", F.floor(F.col("place") / BLOCK).cast("long").alias("block"), "blocks")
-        members = members.join(at, "key").join(denied, "id", "left").select("signature", "block", "blocks", "id", "component", "n_shingles", "sketch", "denied")
+        members = members.join(at, "key").join(known.select("key", "sketch"), "key").join(denied, "id", "left").select("signature", "block", "blocks", "id", "component", "n_shingles", "sketch", "denied")
         members = members.withColumn("other", F.explode(F.expr("sequence(0L, blocks)")))
         members = members.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
         fresh = members.groupBy("signature", "one", "two").applyInArrow(_across, "signature long, x long, y long, a long, b long, more boolean")
