@@ -9,7 +9,7 @@ earlier still lies inside, so a bounded look back is enough and a heavy key can
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -40,6 +40,9 @@ PRODUCT_BURST = Burst(1.0, 5)
 PAID_PRODUCT_BURST = Burst(1.0, 3)
 ANCHORED_BURST = Burst(10.0, 5)
 
+# How a profile asks for a burst: (rows, keys, burst, name of the flag, rows that count, time) to rows with the flag.
+Flagger = Callable[[DataFrame, Sequence[str], Burst, str, str, str], DataFrame]
+
 
 def _text(name: str) -> str:
     return f"coalesce(CAST({name} AS string), '')"
@@ -128,12 +131,14 @@ def classify_cascade(
     time: str = "created_at",
     mode: str = EVENT_TIME,
     split: Split = DEFAULT_SPLIT,
+    flag: Flagger | None = None,
 ) -> DataFrame:
     """Adds ``reason``: required fields, stock, user burst, product burst; first hit wins.
 
     The user count sees only rows that passed the field and stock rules, the product
     count only rows that also passed the user rule. User and product are compared, looked
-    up and counted without the blanks around them; the columns keep them.
+    up and counted without the blanks around them; the columns keep them. ``flag`` counts
+    in place of the batch rules.
     """
     cols = df.columns
     raw = {c: f"_raw_{c}" for c in ("user_id", "product_id")}
@@ -141,8 +146,9 @@ def classify_cascade(
     df = df.selectExpr(*bare, *[f"{c} AS {kept}" for c, kept in raw.items()])
     cols, shown = df.columns, [f"{raw[c]} AS {c}" if c in raw else c for c in cols]
     step = with_stock(df, products).selectExpr(*cols, f"coalesce({rule_required()}, {rule_stock_cascade()}) AS _static")
-    step = burst_flag(step, ["user_id"], user_burst, "_user", "_static IS NULL", time, mode, df, split)
-    step = burst_flag(step, ["product_id"], product_burst, "_product", "(_static IS NULL AND NOT _user)", time, mode, df, split)
+    flag = flag or (lambda *asked: burst_flag(*asked, mode, df, split))
+    step = flag(step, ["user_id"], user_burst, "_user", "_static IS NULL", time)
+    step = flag(step, ["product_id"], product_burst, "_product", "(_static IS NULL AND NOT _user)", time)
     bursts = f"CASE WHEN _user THEN '{FRAUD_USER}' WHEN _product THEN '{FRAUD_PRODUCT}' END"
     return step.selectExpr(*shown, f"coalesce(_static, {bursts}) AS reason")
 
@@ -155,11 +161,13 @@ def classify_paid(
     time: str = "occurred_at",
     mode: str = EVENT_TIME,
     split: Split = DEFAULT_SPLIT,
+    flag: Flagger | None = None,
 ) -> DataFrame:
     """Adds ``reason`` to PAID rows: stock beats burst; every PAID row counts for the burst."""
     cols = df.columns
     step = with_stock(df, products).selectExpr(*cols, f"{rule_stock_paid(threshold)} AS _out")
-    step = burst_flag(step, ["product_id"], burst, "_burst", _is_paid(), time, mode, df.where(_is_paid()), split)
+    flag = flag or (lambda *asked: burst_flag(*asked, mode, df.where(_is_paid()), split))
+    step = flag(step, ["product_id"], burst, "_burst", _is_paid(), time)
     return step.selectExpr(*cols, f"coalesce(_out, CASE WHEN _burst THEN '{FRAUD_PRODUCT}' END) AS reason")
 
 
@@ -169,11 +177,15 @@ def classify_anchored(
     keywords: Sequence[str] = BAD_ADDRESS_KEYWORDS,
     time: str = "created_at",
     split: Split = DEFAULT_SPLIT,
+    flag: Flagger | None = None,
 ) -> DataFrame:
     """Adds ``reason``: bad user or address, else the anchored burst over the other rows."""
     cols = df.columns
     step = df.selectExpr("*", f"{rule_bad_address(keywords=keywords)} AS _static")
-    step = rule_anchored_burst(step, burst, "_burst", "_static IS NULL", time, df, split)
+    if flag:
+        step = flag(step, ["user_id", "product_id"], burst, "_burst", "_static IS NULL", time)
+    else:
+        step = rule_anchored_burst(step, burst, "_burst", "_static IS NULL", time, df, split)
     return step.selectExpr(*cols, f"coalesce(_static, CASE WHEN _burst THEN '{FRAUD_USER}' END) AS reason")
 
 

@@ -10,6 +10,7 @@ from holdfast.operators import intake, snapshot
 from holdfast.sources.messages import decode_messages, land_raw, split_bad
 from holdfast.sources.tables import alert_payloads, append_ledger
 from holdfast.session import staged
+from holdfast.streaming.carried import carried
 from holdfast.streaming.runner import BATCH, read_batches, run_available, write_batch
 
 LINK_PREFIX = "/orders/"
@@ -54,7 +55,9 @@ def intake_batch(messages: DataFrame, batch_id: int, products: Products, profile
         products = products(spark)
     decoded = staged(decode_messages(messages), "decoded")
     good, errors = split_bad(decoded)
-    rows = staged(intake.with_event_id(intake.classify(intake.normalize(good), products, profile), profile), "classified")
+    options = {} if profile == "ingest" else {"flag": carried(f"{out}/bursts", batch_id, profile == "anchored")}
+    normal = staged(intake.normalize(good), "normal")
+    rows = staged(intake.with_event_id(intake.classify(normal, products, profile, **options), profile), "classified")
     write_batch(errors, batch_id, f"{out}/errors")
     write_batch(land_raw(rows), batch_id, f"{out}/raw")
     entries = intake.ledger_input(rows, profile)
@@ -73,8 +76,8 @@ def intake_batch(messages: DataFrame, batch_id: int, products: Products, profile
 def run_intake(messages: DataFrame, products: Products, profile: str, out: str, checkpoint: str) -> None:
     """Runs the intake over all messages there are.
 
-    Rules on single rows and the snapshot continue across batches. Burst verdicts here
-    look at one batch; feed them from the keyed burst streams to look across batches.
+    Rules on single rows, bursts and the snapshot continue across batches, so the size of
+    a batch changes no verdict. Bursts are counted in arrival order.
     """
     run_available(messages, lambda df, batch_id: intake_batch(df, batch_id, products, profile, out), checkpoint)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import time
 from datetime import datetime, timedelta
@@ -84,9 +85,10 @@ def test_windows_follow_late_rows(spark):
 
 
 def test_dedup_across_batches(spark):
-    rows = [(i, f"e{i % 10}", T0 + timedelta(seconds=i)) for i in range(40)]
+    # Copies come days apart, and the last row, never seen before, is days late.
+    rows = [(i, f"e{i % 10}", T0 + timedelta(days=i)) for i in range(40)] + [(40, "late", T0 - timedelta(days=9))]
     df = spark.createDataFrame(rows, "seq bigint, event_id string, ingested_at timestamp_ntz")
-    assert collect(spark, windows.stream_dedup(as_stream(spark, df, 4))).count() == 10
+    assert collect(spark, windows.stream_dedup(as_stream(spark, df, 4))).count() == 11
 
 
 @pytest.fixture(scope="module")
@@ -141,6 +143,57 @@ def test_intake_with_products_runs_as_a_stream(spark, texts, profile):
     assert streamed.read_intake(spark, again)["ledger"].count() == tables["ledger"].count()
 
 
+@pytest.mark.parametrize("profile", ["anchored", "cascade", "paid_anomaly"])
+def test_bursts_of_the_intake_cross_batches(spark, profile):
+    """The size of a batch changes no verdict, with times going back and forth, and it is the plain loop's."""
+    rng = random.Random(5)
+    at = [T0 + timedelta(milliseconds=rng.randrange(20_000 if profile == "anchored" else 4_000)) for _ in range(40)]
+    iso = [t.isoformat() + "Z" for t in at]
+    texts = [message(order_id=f"o{i}", created_at=iso[i], last_occurred_at=iso[i], current_status="PAID") for i in range(40)]
+    path = scratch_path(spark, "products")
+    spark.createDataFrame([("P1", "book", 5)], "product_id string, product_name string, stock int").write.parquet(path)
+    rows = envelopes(spark, texts).orderBy("ingested_at", "partition", "offset").collect()
+    order = [json.loads(r.value)["order_id"] for r in rows]
+    got = {}
+    for batches in (1, 4):
+        out, size = scratch_path(spark, "tables"), 40 // batches
+        for b in range(batches):
+            part = spark.createDataFrame(rows[b * size:(b + 1) * size], ENVELOPE)
+            streamed.intake_batch(part, b, lambda s: s.read.parquet(path), profile, out)
+        ledger = streamed.read_intake(spark, out)["ledger"]
+        got[batches] = {r.order_id: r.reason_code for r in ledger.collect()}
+    times = {f"o{i}": at[i] for i in range(40)}
+    want = {"anchored": _anchored_loop, "cascade": _cascade_loop, "paid_anomaly": _paid_loop}[profile]([(o, times[o]) for o in order])
+    assert got[1] == got[4] == want and len(set(want.values())) > 1
+
+
+def _over(kept: list, t: datetime, burst: Burst) -> bool:
+    kept[:] = [k for k in kept if k >= t - timedelta(seconds=burst.seconds)] + [t]
+    return len(kept) > burst.limit
+
+
+def _cascade_loop(rows):
+    users, products, out = [], [], {}
+    for order, t in rows:
+        out[order] = "FUL-FRAUD-USER" if _over(users, t, rules.USER_BURST) else "FUL-FRAUD-PROD" if _over(products, t, rules.PRODUCT_BURST) else None
+    return out
+
+
+def _paid_loop(rows):
+    kept = []
+    return {order: "FUL-FRAUD-PROD" if _over(kept, t, rules.PAID_PRODUCT_BURST) else None for order, t in rows}
+
+
+def _anchored_loop(rows):
+    anchor, seen, out = None, 0, {}
+    for order, t in rows:
+        if anchor is None or t > anchor + timedelta(seconds=rules.ANCHORED_BURST.seconds):
+            anchor, seen = t, 0
+        seen += 1
+        out[order] = "FUL-FRAUD-USER" if seen > rules.ANCHORED_BURST.limit else None
+    return out
+
+
 def test_live_snapshot_equals_fold(spark):
     rng = random.Random(4)
     maybe = lambda v: rng.choice([v, v, None, ""])
