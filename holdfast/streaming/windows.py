@@ -45,6 +45,12 @@ def current_counts(updates: DataFrame) -> DataFrame:
     )
 
 
-def stream_dedup(events: DataFrame, time: str = "ingested_at", lateness: str = LATENESS) -> DataFrame:
-    """One row per event id among copies that arrive within the lateness of each other."""
+def stream_dedup(events: DataFrame, time: str = "ingested_at", lateness: str | None = None) -> DataFrame:
+    """One row per event id, however late its copies come; the state holds every id seen.
+
+    With a ``lateness`` only copies within it of each other are found, the state forgets
+    older ids, and rows later than that behind the newest are dropped by Spark.
+    """
+    if lateness is None:
+        return events.dropDuplicates(["event_id"])
     return timed(events, time, lateness).dropDuplicatesWithinWatermark(["event_id"])
