@@ -137,10 +137,10 @@ def _partitioned(s: np.ndarray, low: int) -> np.ndarray:
 
 
 def signatures(s: np.ndarray) -> np.ndarray:
-    """Signatures of a sorted set of shingle hashes. Sets below four shingles are only similar to copies."""
+    """Signatures of a sorted set of shingle hashes. Sets below three shingles are only similar to copies."""
     n = len(s)
     found = []
-    if 4 <= n and OVER * n <= UNDER * THREE:
+    if 3 <= n and OVER * n <= UNDER * THREE:
         found.append(_combined(s[: n - (OVER * n + UNDER - 1) // UNDER + 3], 3))
     if n > THREE and OVER * n <= UNDER * (FIRST_BAND - 1):
         found.append(_combined(s[: n - (OVER * n + UNDER - 1) // UNDER + 2], 2))

@@ -80,6 +80,33 @@ def test_jaccard_threshold_pairs_share_a_signature():
                 assert len(np.intersect1d(jaccard.signatures(a), jaccard.signatures(b)))
 
 
+def test_jaccard_small_sets_at_the_threshold_share_a_signature():
+    rng = np.random.default_rng(7)
+    for n in range(1, 41):
+        for m in range(n, 41):
+            both = -(-3 * (n + m) // 7)  # the fewest shared shingles of a similar pair
+            if both > n:
+                continue
+            for _ in range(5):
+                shared, a, b = (rng.integers(0, 2**63, size=k, dtype=np.uint64) for k in (both, n - both, m - both))
+                a, b = np.sort(np.concatenate([shared, a])), np.sort(np.concatenate([shared, b]))
+                assert n == m == both or len(np.intersect1d(jaccard.signatures(a), jaccard.signatures(b))), (n, m)
+
+
+def test_jaccard_components_of_short_texts(spark):
+    rng = random.Random(12)
+    texts = []
+    for size in (5, 6, 7, 8, 9, 10, 11):
+        for _ in range(6):
+            base = [f"s{rng.randrange(10**6)}" for _ in range(size)]
+            texts += [" ".join(base), " ".join([*base, "end"]), " ".join(["start", *base]), " ".join([*base, "two", "more"]), edited(rng, base, 1)]
+    want, sizes = similar_groups(texts)
+    assert any(sizes[i] == 3 and want[i] != i or sizes[want[i]] == 3 and want[i] != i for i in want)
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], DOCS).repartition(4)
+    assert {r.doc_id: (r.component_id, r.n_shingles) for r in jaccard.jaccard_components(docs).collect()} == {i: (want[i], sizes[i]) for i in want}
+    assert sorted(r.doc_id for r in jaccard.representatives(docs).collect()) == sorted(i for i in want if want[i] == i)
+
+
 def test_jaccard_odd_frames(spark):
     empty = spark.createDataFrame([], DOCS)
     assert jaccard.jaccard_components(empty).count() == 0 and jaccard.representatives(empty).count() == 0
