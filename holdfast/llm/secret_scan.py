@@ -1,6 +1,7 @@
 """Secret scans: candidate strings judged by a random forest, in DataFrame functions alone.
 
-Candidates are long runs of key characters with a digit. The forest looks at their length, character
+Candidates are long runs of key characters with a digit, values of six characters or more that are assigned to
+the name of a credential, and such values between a user and a host (user:value@host). The forest looks at their length, character
 transitions and classes, how much of them dictionary words cover (a word is in the dictionary by the number
 of times it stands in the texts), the path they come from and the words around them. It is trained from
 labelled findings; `labelled` builds a set by rule, and any other frame of texts, paths and labels will do.
@@ -10,11 +11,12 @@ from __future__ import annotations
 
 import base64
 import random
+import re
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import SPACED_WORD
@@ -34,6 +36,14 @@ CREDENTIAL = "token|secret|passw|pwd|api.?key|apikey|auth|bearer|credential|acce
 EXAMPLE = "example|sample|dummy|placeholder|your|changeme|fake|test|xxxx|redacted|todo"
 OTHER = "commit|sha|hash|checksum|digest|md5|uuid|guid|version|http|www|mail|href|file|image|integrity|build|release|rev|tree"
 
+# Candidates known by what stands before them; group 1 is that, group 2 the value. The value after a name runs to the
+# closing quote, or to a blank, the next name or closing punctuation. Both skip what is masked already.
+_OPEN, _CLOSE = "\x01", "\x02"
+_FRESH = rf"(?!{re.escape(MASK)}(?![A-Za-z0-9]))"
+_BARE = r"(?:(?![,;&][\w.-]+[=:]|[.,;:)\]}]{1,4}(?:[\s\"'`<>]|$))[^\s\"'`<>\x00-\x1F]){6,}+"
+ASSIGNED = rf"((?i:{CREDENTIAL})[\w.-]{{0,40}}[\"'\]]*[ \t]*[=:]{{1,3}}>?[ \t]*[\"'`]?){_FRESH}((?<=\")[^\"\x00-\x1F]{{6,}}(?=\")|(?<=')[^'\x00-\x1F]{{6,}}(?=')|{_BARE})"
+LOGIN = rf"((?:(?<![\w.%+-])[\w.%+-]{{1,64}}|(?<=//)):){_FRESH}([^\s/\"'<>\x00-\x1F]{{6,}})(?=@[A-Za-z0-9\[])"
+
 
 def labelled(spark: SparkSession, n: int = LABELLED, seed: int = SEED) -> DataFrame:
     """Labelled findings by rule: text, path and label (1 secret, 0 not), each text with one candidate."""
@@ -46,10 +56,29 @@ def labelled(spark: SparkSession, n: int = LABELLED, seed: int = SEED) -> DataFr
     filler = "the value of this is used in order to start a new run when all is well and done for each one".split()
     word = lambda: pick("aeioustrnlmd", rng.randint(2, 9))
     names = ["token", "secret", "password", "api_key", "apikey", "auth_token", "access_key", "client_secret", "private_key", "TOKEN", "API_KEY", "SECRET_KEY", "bearer"]
+    login_names = ["password", "passwd", "pwd", "DB_PASSWORD", "db_pwd", "Password", "passwd", "secret", "auth", "credential"]
+    marks = "!@#$%&*?"
+    chosen = lambda: rng.choice([  # a password people choose: at least one of digits, marks and capitals
+        lambda: word() + pick("0123456789", rng.randint(4, 6)), lambda: word().capitalize() + pick(marks, 1) + pick("0123456789", rng.randint(3, 4)),
+        lambda: word().capitalize() + pick(marks, 1) + word().capitalize() + pick(marks, 1) + pick(letters, 2), lambda: pick(mixed + marks, rng.randint(8, 14)), lambda: pick(mixed, rng.randint(8, 15)),
+        lambda: word() + pick(marks, 2) + pick(letters, 3) + pick("0123456789", 1), lambda: pick(letters, 2) + pick("0123456789", 1) + pick(letters, 1) + pick("0123456789", 1) + pick(letters, rng.randint(2, 5)) + pick(marks + "0123456789", 2),
+    ])()
     rows = []
     for i in range(n):
         label = i % 2
-        if label:
+        if label and i % 10 in (1, 5):
+            core = rng.choice(["{k} = \"{v}\"", "{k}={v}", "{k}: '{v}'", "{k}: {v}", "\"{k}\": \"{v}\"", "export {k}={v}", "{s}://{u}:{v}@{h}/{w}", "{u}:{v}@{h}"]).format(
+                k=rng.choice(login_names), v=chosen(), s=rng.choice(["postgres", "mysql", "ftp", "https", "redis"]), u=rng.choice(["user", "admin", "root", word()]), h=rng.choice(["host", "db", "localhost", word()]), w=word()
+            )
+            path = rng.choice(["src/app", "config/prod", "deploy", "web", "notes", "src1"])
+        elif not label and i % 10 in (0, 4):
+            said = word() + pick("aeioustrnlmd", 4)
+            core = rng.choice([
+                "{k}: {p}", "{k} = \"{p}\"", "{k}: {p} {p}", "\"{k}\": \"{p}\"", "{k} = get_{p}()", "{k} = os.environ['{q}']", "{k}: ${{{q}}}", "{k}=${q}", "{k} = config.{p}.{p}", "{k}: <{p}-here>",
+                "mailto:{p}.{w}@{h}.org", "mail:{p}@{h}.com", "from:{p}@{h}.net", "{k} = \"changeme\"", "{k}: ********", "{k} = \"xxxxxx\"", "{k}: \"your {k} here\"", "{k}: {p}, {p}", "{k} = request.{p}[0]",
+            ]).format(k=rng.choice(names + login_names), p=rng.choice([said, said, rng.choice(["required", "string", "optional", "always", "enabled", "Invalid", "Required", "nothing"])]), q=said.upper() + "_KEY", w=word(), h=word())
+            path = rng.choice(["docs", "tests/data", "src/app", "web", "examples", "notes", "src1"])
+        elif label:
             value = rng.choice([
                 lambda: hexa(rng.choice([16, 20, 20, 32])), lambda: hexa(20).upper(), lambda: "AKIA" + pick(letters.upper() + "0123456789", 16), lambda: "ghp_" + pick(mixed, 36),
                 lambda: "sk_live_" + pick(mixed, 24), lambda: base64.b64encode(raw(30)).decode().rstrip("="), lambda: pick(mixed, rng.randint(20, 48)),
@@ -85,21 +114,43 @@ def labelled(spark: SparkSession, n: int = LABELLED, seed: int = SEED) -> DataFr
 
 
 def candidates(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """`keys`, path, place (number of the word), value, before, after: every candidate of every text."""
+    """`keys`, path, place (number of the word the value starts in), value, before, after: every candidate of every text."""
     words = rows.where(F.col("text").rlike(CANDIDATE)).select(*keys, "path", F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)).alias("w"))
     places = F.expr(f"filter(sequence(0, size(w) - 1), i -> w[i] rlike '{CANDIDATE}')")
-    near = F.transform(places, lambda i: F.struct(
-        i.alias("place"), F.get(F.col("w"), i).alias("word"),
-        F.array_join(F.slice("w", F.greatest(i - AROUND, F.lit(0)) + 1, F.least(i, F.lit(AROUND))), " ").alias("before"),
-        F.array_join(F.slice("w", i + 2, F.lit(AROUND)), " ").alias("after"),
-    ))
+    near = F.transform(places, lambda i: F.struct(i.alias("place"), *_around(i)))
     found = words.select(*keys, "path", F.explode(near).alias("c"))
     found = found.select(*keys, "path", "c.place", "c.word", "c.before", "c.after", F.explode(F.regexp_extract_all("c.word", F.lit(CANDIDATE), F.lit(0))).alias("value"))
     lead = F.expr("substring_index(word, value, 1)")
-    return found.withColumn("before", F.concat_ws(" ", "before", lead)).drop("word")
+    found = found.withColumn("before", F.concat_ws(" ", "before", lead)).drop("word")
+    named = _named(rows.where(F.col("text").rlike(ASSIGNED)), keys, ASSIGNED)
+    login = _named(rows.where(F.col("text").contains("@") & F.col("text").rlike(LOGIN)), keys, LOGIN)
+    return found.unionByName(named).unionByName(login)
+
+
+def _around(i: Column) -> list[Column]:
+    return [
+        F.get(F.col("w"), i).alias("word"),
+        F.array_join(F.slice("w", F.greatest(i - AROUND, F.lit(0)) + 1, F.least(i, F.lit(AROUND))), " ").alias("before"),
+        F.array_join(F.slice("w", i + 2, F.lit(AROUND)), " ").alias("after"),
+    ]
+
+
+def _named(rows: DataFrame, keys: list[str], pattern: str) -> DataFrame:
+    """Candidates by a pattern with what stands before as group 1 and the value as group 2, but for those that are
+    runs of key characters as well. Values are put between marks, which are no blanks: words keep their numbers."""
+    marked = F.regexp_replace(F.translate("text", _OPEN + _CLOSE, "\x03\x03"), F.lit(pattern), F.lit(f"$1{_OPEN}$2{_CLOSE}"))
+    words = rows.select(*keys, "path", marked.alias("m"))
+    words = words.select(*keys, "path", F.regexp_extract_all("m", F.lit(SPACED_WORD), F.lit(0)).alias("w"), F.regexp_extract_all("m", F.lit(f"{_OPEN}([^{_CLOSE}]*){_CLOSE}"), F.lit(1)).alias("values"))
+    places = F.expr(f"flatten(transform(sequence(0, size(w) - 1), i -> array_repeat(i, length(w[i]) - length(replace(w[i], '{_OPEN}', '')))))")
+    near = F.zip_with(places, "values", lambda i, v: F.struct(i.alias("place"), v.alias("value"), *_around(i)))
+    found = words.select(*keys, "path", F.explode(near).alias("c")).select(*keys, "path", "c.*")
+    bare = lambda c: F.translate(c, _OPEN + _CLOSE, "")
+    lead = F.expr(f"substring_index(word, concat('{_OPEN}', split(value, '[ ]')[0]), 1)")
+    found = found.where(~F.array_contains(F.regexp_extract_all(bare("word"), F.lit(CANDIDATE), F.lit(0)), F.col("value")))
+    return found.select(*keys, "path", "place", bare(F.concat_ws(" ", "before", lead)).alias("before"), bare("after").alias("after"), "value")
 
 
-FEATURES = ["length", "turns", "digits", "uppers", "lowers", "hexadecimal", "dots", "dashes", "repeats", "covered", "credential", "sample", "other", "assigned", "quoted", "path_sample", "path_config", "own_sample"]
+FEATURES = ["length", "turns", "digits", "uppers", "lowers", "hexadecimal", "dots", "dashes", "repeats", "covered", "credential", "sample", "other", "assigned", "quoted", "path_sample", "path_config", "own_sample", "marks", "code", "login"]
 
 
 def described(found: DataFrame, texts: DataFrame) -> DataFrame:
@@ -124,6 +175,7 @@ def described(found: DataFrame, texts: DataFrame) -> DataFrame:
         flag(F.col("before").rlike(f"(?i)\\b({OTHER})")).alias("other"), flag(F.col("before").rlike("[=:]\\s*[\"']?\\s*$")).alias("assigned"), flag(F.col("before").rlike("[\"']\\s*$")).alias("quoted"),
         flag(F.coalesce("path", F.lit("")).rlike(f"(?i){EXAMPLE}|doc")).alias("path_sample"), flag(F.coalesce("path", F.lit("")).rlike("(?i)conf|deploy|prod|env")).alias("path_config"),
         flag(F.col("value").rlike(f"(?i){EXAMPLE}")).alias("own_sample"),
+        share("!@#$%^&*?~").alias("marks"), flag(F.col("value").rlike(r"[(\[{<]|\w\.\w")).alias("code"), flag(F.col("before").rlike(r"://[^\s/:@]*:$")).alias("login"),
     )
 
 

@@ -142,6 +142,29 @@ def test_secret_scan(spark):
     assert secret_scan.findings(docs.where("false")).count() == 0
 
 
+def test_secret_scan_of_assigned_values(spark):
+    secrets = [
+        ('set password = "hunter2024" now', 3, "hunter2024"), ("db postgres://admin:Passw0rd!@host/main is up", 1, "Passw0rd!"), ("pwd: Tr0ub4dor&3 was used", 1, "Tr0ub4dor&3"),
+        ("run DB_PASSWORD=s3cr3t!9x&user=anna", 1, "s3cr3t!9x"), ('{"passwd": "Correct!Horse#Staple"}', 1, "Correct!Horse#Staple"),
+    ]
+    plain = ["password: required", "mailto:anna.smith@mail.org", "the secret: always be kind", "password = get_password()", "pwd = short", f"password: {secret_scan.MASK} x"]
+    docs = frame(spark, [t for t, _, _ in secrets] + plain)
+    seen = secret_scan.findings(docs).collect()
+    found = {(r.doc_id, r.place, r.value) for r in seen}
+    assert {(i, p, v) for i, (_, p, v) in enumerate(secrets)} <= found and len(found) == len(seen)
+    assert not any(secret_scan.MASK in r.value for r in seen)
+    assert {(r.doc_id, r.place, r.value) for r in seen if r.is_secret} == {(i, p, v) for i, (_, p, v) in enumerate(secrets)}
+    texts = {r.doc_id: r.text for r in secret_scan.masked(docs).collect()}
+    assert texts == {i: t.replace(v, secret_scan.MASK) for i, (t, _, v) in enumerate(secrets)} | {i: t for i, t in enumerate(plain, len(secrets))}
+
+
+def test_secret_values_start_in_their_word(spark):
+    texts = ['a token = "two words  here" and\nsecret=abc!def,pwd=ghi?jkl.', "x \x01 password: a1\x02b2c3d4 y", "token=" + "a,b;" * 5000]
+    found = [(r.doc_id, r.place, r.value) for r in secret_scan.candidates(frame(spark, texts).selectExpr("doc_id", "text", "source AS path"), ["doc_id"]).collect()]
+    assert sorted(f for f in found if f[0] == 0) == [(0, 3, "two words  here"), (0, 7, "abc!def"), (0, 7, "ghi?jkl")]
+    assert [f[1] for f in found if f[0] == 2] == [0]
+
+
 def test_secret_forest_held_out(spark):
     train, test = secret_scan.labelled(spark, 800, 1), secret_scan.labelled(spark, 300, 2)
     docs = test.selectExpr("monotonically_increasing_id() AS doc_id", "text", "path AS source", "label")
