@@ -296,6 +296,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     Null and empty texts have no shingles and stand alone. Rows that repeat a text share a component. Rows of
     one id but different texts are taken as one document with several sets. A row without id gets the
     component of its set, if that has an id anywhere. Ids are integers.
+    Links inside a component are not all found: this gives components, not the pairs of the join.
     """
     sets = staged(described(docs, id_column, text).withColumn("id", F.col("id").cast("long")), "sets")
     distinct = sets.where("n_shingles > 0").groupBy("key", "also").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
