@@ -1,12 +1,12 @@
-"""Removal of repeated byte strings by blockwise suffix sorting with a cover sample.
+"""Removal of repeated byte strings by grouping suffixes per block, with a cover sample.
 
-Only suffixes that can tie for `LENGTH` bytes are ever sorted. The cover is a sample of positions such that
+Only suffixes that can tie for `LENGTH` bytes are ever grouped. The cover is a sample of positions such that
 every string of LENGTH bytes holds one of them, and equal strings hold it at the same place: the smallest
 hash of any `GRAM` bytes in the string. (A cover by residues has that property for pairs of positions only
-and samples three times as many.) The names of the sampled grams are ranked first, over all texts; a gram
+and samples three times as many.) The sampled grams are counted first, over all texts; a gram
 that only one text has rules out all suffixes it covers. The other suffixes fall into buckets by the gram
-that covers them. Buckets are sorted one after the other, in streams ordered by bucket and document, and ties
-are settled by names of LENGTH bytes. Buckets with very many suffixes are cut further, by the name itself.
+that covers them. Buckets are read one after the other, in streams ordered by bucket and document, and suffixes
+are grouped by 64-bit names of LENGTH bytes; grams get no ranks and suffixes no order. Buckets with very many suffixes are cut further, by the name itself.
 """
 
 from __future__ import annotations
