@@ -6,7 +6,8 @@ hash of any `GRAM` bytes in the string. (A cover by residues has that property f
 and samples three times as many.) The sampled grams are counted first, over all texts; a gram
 that only one text has rules out all suffixes it covers. The other suffixes fall into buckets by the gram
 that covers them. Buckets are read one after the other, in streams ordered by bucket and document, and suffixes
-are grouped by 64-bit names of LENGTH bytes; grams get no ranks and suffixes no order. Buckets with very many suffixes are cut further, by the name itself.
+are grouped by bucket and 64-bit names of LENGTH bytes, whose bytes are then compared; grams get no ranks and
+suffixes no order. Buckets with very many suffixes are cut further, by the name itself.
 """
 
 from __future__ import annotations
@@ -149,9 +150,29 @@ def _suffix_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
+def _equal_groups(buckets: np.ndarray, strings: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, head): the rows ordered by bucket, string and owner, and for each ordered row its group's first.
+
+    Hashes of the strings bring equal ones together and the bytes are compared; where two unlike
+    strings share a hash, the strings themselves are sorted instead.
+    """
+    flat = np.ascontiguousarray(strings).reshape(-1)
+    at = np.arange(len(strings)) * LENGTH
+    keys = span_hashes(prefix_hashes(flat), at, at + LENGTH)
+    while True:
+        order = np.lexsort((owners, keys, buckets))
+        fresh = np.ones(len(order), dtype=bool)
+        fresh[1:] = (np.diff(keys[order]) != 0) | (np.diff(buckets[order]) != 0)
+        head = np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
+        later = np.flatnonzero(~fresh)
+        if (strings[order[later]] == strings[order[head[later]]]).all():
+            return order, head
+        keys = np.unique(strings, axis=0, return_inverse=True)[1].reshape(-1)
+
+
 def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffix groups ordered by bucket and document to (doc, low, high): starts of strings that a smaller
-    document has. Of the last bucket only the names seen and their smallest document are carried on."""
+    document has. Of the last bucket only the strings seen and their smallest document are carried on."""
     carried: tuple[int, np.ndarray, np.ndarray] | None = None
     for batch in batches:
         if not len(batch):
@@ -164,29 +185,22 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         counts = np.diff(offsets) - LENGTH + 1
         row = np.repeat(np.arange(len(counts)), counts)
         place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        begin = offsets[row] + place
-        names = span_hashes(prefix_hashes(data), begin, begin + LENGTH) ^ bucket[row].view(np.uint64)
-        owner = doc[row]
-        keys, firsts = names, owner
+        strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[offsets[row] + place]
+        owner, buckets, own = doc[row], bucket[row], len(row)
         if carried is not None and carried[0] == bucket[0]:
-            keys, firsts = np.concatenate([carried[1], names]), np.concatenate([carried[2], owner])
-        order = np.lexsort((firsts, keys))
-        unique, at, back = np.unique(keys[order], return_index=True, return_inverse=True)
-        smallest = firsts[order][at]
-        least = np.empty(len(keys), dtype=smallest.dtype)
-        least[order] = smallest[back]
-        least = least[len(keys) - len(names) :]
-        in_last = bucket[row] == bucket[-1]
-        names_last = names[in_last]
-        if carried is not None and carried[0] == bucket[-1]:
-            names_last = np.concatenate([carried[1], names_last])
-        where = np.searchsorted(unique, np.unique(names_last))
-        carried = (int(bucket[-1]), unique[where], smallest[where])
-        again = least < owner
+            strings = np.concatenate([strings, carried[1]])
+            owner = np.concatenate([owner, carried[2]])
+            buckets = np.concatenate([buckets, np.full(len(carried[2]), carried[0])])
+        order, head = _equal_groups(buckets, strings, owner)
+        least = np.empty(len(order), dtype=owner.dtype)
+        least[order] = owner[order[head]]
+        last = order[np.unique(head[buckets[order] == bucket[-1]])]
+        carried = (int(bucket[-1]), strings[last], owner[last])
+        again = least[:own] < owner[:own]
         edge = np.diff(np.concatenate([[0], again.astype(np.int8), [0]]))
         new_row = np.flatnonzero(np.concatenate([[True], np.diff(row) != 0]))
-        rises = np.union1d(np.flatnonzero(edge == 1), new_row[again[new_row]]) if len(row) else new_row
-        falls = np.union1d(np.flatnonzero(edge == -1), new_row[1:][again[new_row[1:] - 1]]) if len(row) else new_row
+        rises = np.union1d(np.flatnonzero(edge == 1), new_row[again[new_row]])
+        falls = np.union1d(np.flatnonzero(edge == -1), new_row[1:][again[new_row[1:] - 1]])
         r = row[rises]
         yield pa.RecordBatch.from_arrays([pa.array(doc[r]), pa.array(start[r] + place[rises]), pa.array(start[r] + place[falls - 1])], names=["doc", "low", "high"])
 

@@ -6,6 +6,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from holdfast.llm import contamination, licenses, secret_scan, suffixes
@@ -107,6 +109,26 @@ def repeats(docs):
     return out
 
 
+def _batch(rows):
+    cols = list(zip(*rows))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols[:3]] + [pa.array(cols[3], pa.binary())], names=["bucket", "doc", "start", "body"])
+
+
+@pytest.mark.parametrize("sizes", [[9], [1, 1, 1, 2, 4]])
+@pytest.mark.parametrize("colliding", [False, True])
+def test_crowded_strings_are_told_apart(monkeypatch, sizes, colliding):
+    a, b = b"a" * 50, b"b" * 49 + b"\0"
+    rows = [(5, 1, 0, a), (5, 3, 7, a), (5, 4, 0, b), (7, 1, 3, b), (7, 2, 0, a + b[:1]), (7, 2, 1, a), (7, 8, 0, b), (9, 1, 0, a), (9, 2, 0, b)]
+    if colliding:  # every string has the same name
+        monkeypatch.setattr(suffixes, "span_hashes", lambda sums, starts, ends: np.zeros(len(starts), np.uint64))
+    batches, at = [], 0
+    for n in sizes:
+        batches.append(_batch(rows[at : at + n]))
+        at += n
+    got = sorted(r for out in suffixes._sorted_buckets(iter(batches)) for r in zip(*(c.to_pylist() for c in out.columns)))
+    assert got == [(3, 7, 7), (8, 0, 0)]
+
+
 @pytest.mark.parametrize("crowd", [2, 20_000])
 def test_repeat_removal(spark, monkeypatch, crowd):
     monkeypatch.setattr(suffixes, "CROWD", crowd)
