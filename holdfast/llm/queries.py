@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import contamination, jaccard, language, licenses, mixing, pages, quality, secret_scan, suffixes, vectors
+from holdfast.llm import centroids, contamination, jaccard, language, licenses, mixing, pages, quality, secret_scan, suffixes, vectors
 from holdfast.llm.common import table
 from holdfast.session import staged
 
@@ -60,5 +60,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in [op1_license_scan, op2_quality_classifier, op3_language_id, op4_vector_near_duplicates, op5_mix_sources, op6_html_extraction, op7_ngram_jaccard_join, op8_secret_scan, op9_suffix_array_dedup, op10_decontamination]}
-ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle()}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in [
+    op1_license_scan, op2_quality_classifier, op3_language_id, op4_vector_near_duplicates, op5_mix_sources,
+    op6_html_extraction, op7_ngram_jaccard_join, op8_secret_scan, op9_suffix_array_dedup, op10_decontamination, op11_centroid_clustering,
+]}
+ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op11_centroid_clustering": centroids.oracle()}
