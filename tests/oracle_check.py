@@ -29,7 +29,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value: object) -> object:
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
         return None
     if isinstance(value, pd.Timestamp):
         return value.tz_localize(None).isoformat() if value.tzinfo else value.isoformat()
