@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import centroids, contamination, jaccard, language, licenses, mixing, pages, quality, secret_scan, suffixes, vectors, warc
+from holdfast.llm import centroids, contamination, jaccard, language, licenses, mixing, pages, phrases, quality, secret_scan, suffixes, vectors, warc
 from holdfast.llm.common import table
 from holdfast.session import staged
 
@@ -68,8 +68,13 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     op1_license_scan, op2_quality_classifier, op3_language_id, op4_vector_near_duplicates, op5_mix_sources,
     op6_html_extraction, op7_ngram_jaccard_join, op8_secret_scan, op9_suffix_array_dedup, op10_decontamination, op11_centroid_clustering, op12_warc,
+    op13_phrase_collocations,
 ]}
-ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op11_centroid_clustering": centroids.oracle(), "op12_warc": warc.oracle()}
+ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op11_centroid_clustering": centroids.oracle(), "op12_warc": warc.oracle(), "op13_phrase_collocations": phrases.oracle()}
