@@ -33,6 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs now; it does so when the driver's JVM collects their plans."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def lowered(text: Column) -> Column:
     """The text with A-Z (and nothing else) in lower case; null becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
