@@ -20,21 +20,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import Texts, mix, release, span_hashes, prefix_hashes, text_chunks, _LOWER
+from holdfast.llm.common import _LOWER, Texts, mix, prefix_hashes, release, span_hashes, text_chunks
 from holdfast.session import staged
 
-LEAST = 30  # occurrences of a candidate
-CONTAINED = 80  # percent of a phrase's occurrences from which a longer one replaces it
-SCALE = 2_000_000
 TOP = 2000  # phrases reported per language
 
-RANKED = 65_536  # units that get a rank
-TILE = 256  # ranks along a tile's side
-DENSE = 2 * TILE  # pairs in a tile from which it is counted densely
-HELD = 1_000_000  # pairs gathered in a task before they are counted
-BITS = 1 << 26  # of the bitmap of frequent units
-SPREAD = 64  # parts a language's candidates are ranked in first
-CHUNK = 1_000_000
+
+@dataclass(frozen=True)
+class Settings:
+    """Limits of the counting; only `least` and `contained` say what a phrase is."""
+
+    least: int = 30  # occurrences of a candidate
+    contained: int = 80  # percent of a phrase's occurrences from which a longer one replaces it
+    scale: int = 2_000_000
+    ranked: int = 65_536  # units that get a rank
+    tile: int = 256  # ranks along a tile's side
+    dense: int = 512  # pairs in a tile from which it is counted densely
+    held: int = 1_000_000  # pairs gathered in a task before they are counted
+    bits: int = 1 << 26  # of the bitmap of frequent units
+    spread: int = 64  # parts a language's candidates are ranked in first
+    chunk: int = 1_000_000  # bytes of text handled at a time
+
+
+DEFAULT = Settings()
 
 _U = np.uint64
 _TURN = _U(0x9E3779B97F4A7C15)
@@ -61,7 +69,7 @@ class Units:
         return np.where(self.names[at] == names, self.ranks[at], -1)
 
     def frequent(self, names: np.ndarray) -> np.ndarray:
-        slot = (names & _U(BITS - 1)).astype(np.int64)
+        slot = (names & _U(64 * len(self.bitmap) - 1)).astype(np.int64)
         return (self.bitmap[slot >> 6] >> (slot & 63).astype(np.uint64)) & _U(1) == 1
 
 
@@ -99,37 +107,42 @@ def spoken(texts: Texts, languages: list[str]) -> Spoken:
     return Spoken(data, starts, ends, names, np.searchsorted(np.flatnonzero(BREAK[data]), starts), text)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Spoken, list[str]]]:
+def _chunks(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[tuple[Spoken, list[str]]]:
     """Batches of (lang, text)."""
     for batch in batches:
-        for texts in text_chunks(batch.column(1), CHUNK):
+        for texts in text_chunks(batch.column(1), settings.chunk):
             languages = [v or "" for v in batch.column(0).slice(texts.rows.start, len(texts)).to_pylist()]
             yield spoken(texts, languages), languages
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, word, name, f) of each chunk."""
-    for words, languages in _chunks(batches):
-        names, first, counts = np.unique(words.names, return_index=True, return_counts=True)
-        data = words.data.tobytes()
-        text = [data[a:b].decode() for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist())]
-        own = [languages[t] for t in words.text[first].tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array(text, pa.string()), pa.array(names.view(np.int64)), pa.array(counts)], names=["lang", "word", "name", "f"])
+def _words(settings: Settings):
+    """Tasks that return (lang, word, name, f) of each chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for said, languages in _chunks(batches, settings):
+            names, first, counts = np.unique(said.names, return_index=True, return_counts=True)
+            data = said.data.tobytes()
+            text = [data[a:b].decode() for a, b in zip(said.starts[first].tolist(), said.ends[first].tolist())]
+            own = [languages[t] for t in said.text[first].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array(text, pa.string()), pa.array(names.view(np.int64)), pa.array(counts)], names=["lang", "word", "name", "f"])
+
+    return run
 
 
 class Tally:
-    """Counts pairs of units, as many as HELD at a time."""
+    """Counts pairs of units, as many as `held` at a time."""
 
-    def __init__(self, kind: int, left: Units, right: Units) -> None:
-        self.kind, self.left, self.right = kind, left, right
+    def __init__(self, kind: int, left: Units, right: Units, settings: Settings) -> None:
+        self.kind, self.left, self.right, self.settings = kind, left, right, settings
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
     def add(self, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(left), HELD):
-            self.parts.append((left[at : at + HELD], right[at : at + HELD]))
+        most = self.settings.held
+        for at in range(0, len(left), most):
+            self.parts.append((left[at : at + most], right[at : at + most]))
             self.held += len(self.parts[-1][0])
-            if self.held >= HELD:
+            if self.held >= most:
                 yield self.counted()
 
     def counted(self) -> pa.RecordBatch:
@@ -138,7 +151,7 @@ class Tally:
         self.parts, self.held = [], 0
         a, b = self.left.rank(left), self.right.rank(right)
         ranked = (a >= 0) & (b >= 0)
-        i, j, n = tiled(a[ranked], b[ranked])
+        i, j, n = tiled(a[ranked], b[ranked], self.settings)
         far_left, far_right, far_n = coordinates(left[~ranked], right[~ranked])
         left, right = np.concatenate([self.left.by_rank[i], far_left]), np.concatenate([self.right.by_rank[j], far_right])
         n = np.concatenate([n, far_n])
@@ -147,28 +160,28 @@ class Tally:
         )
 
 
-def tiled(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tiled(a: np.ndarray, b: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct pairs of ranks with their counts, tile by tile."""
-    side = RANKED // TILE + 1
-    tile = (a // TILE) * side + b // TILE
+    width, side = settings.tile, settings.ranked // settings.tile + 1
+    tile = (a // width) * side + b // width
     order = np.argsort(tile.astype(np.int32), kind="stable")
     tile, a, b = tile[order], a[order], b[order]
     heads = np.flatnonzero(np.diff(tile, prepend=-1))
     sizes = np.diff(np.append(heads, len(tile)))
-    cells = (a % TILE) * TILE + b % TILE
+    cells = (a % width) * width + b % width
     rows, cols, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    dense = sizes >= DENSE
+    dense = sizes >= settings.dense
     for head, size in zip(heads[dense].tolist(), sizes[dense].tolist()):
-        n = np.bincount(cells[head : head + size], minlength=TILE * TILE)
+        n = np.bincount(cells[head : head + size], minlength=width * width)
         filled = np.flatnonzero(n)
-        rows.append(tile[head] // side * TILE + filled // TILE)
-        cols.append(tile[head] % side * TILE + filled % TILE)
+        rows.append(tile[head] // side * width + filled // width)
+        cols.append(tile[head] % side * width + filled % width)
         counts.append(n[filled])
     sparse = ~np.repeat(dense, sizes)
-    keys, n = np.unique(tile[sparse] * TILE * TILE + cells[sparse], return_counts=True)
-    tile, cells = keys // (TILE * TILE), keys % (TILE * TILE)
-    rows.append(tile // side * TILE + cells // TILE)
-    cols.append(tile % side * TILE + cells % TILE)
+    keys, n = np.unique(tile[sparse] * width * width + cells[sparse], return_counts=True)
+    tile, cells = keys // (width * width), keys % (width * width)
+    rows.append(tile // side * width + cells // width)
+    cols.append(tile % side * width + cells % width)
     counts.append(n)
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(counts)
 
@@ -183,12 +196,12 @@ def coordinates(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
     return left[heads], right[heads], np.diff(np.append(heads, len(left)))
 
 
-def _pairs(words: Units):
+def _pairs(words: Units, settings: Settings):
     """Tasks that count neighbouring frequent words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally(2, words, words)
-        for said, _ in _chunks(batches):
+        tally = Tally(2, words, words, settings)
+        for said, _ in _chunks(batches, settings):
             known = words.frequent(said.names)
             at = np.flatnonzero(known[:-1] & known[1:] & (said.pieces[:-1] == said.pieces[1:]) & (said.text[:-1] == said.text[1:]))
             yield from tally.add(said.names[at], said.names[at + 1])
@@ -197,12 +210,12 @@ def _pairs(words: Units):
     return run
 
 
-def _longer(words: Units, pairs: Units):
+def _longer(words: Units, pairs: Units, settings: Settings):
     """Tasks that count frequent pairs with the word and with the pair behind them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        three, four = Tally(3, pairs, words), Tally(4, pairs, pairs)
-        for said, _ in _chunks(batches):
+        three, four = Tally(3, pairs, words, settings), Tally(4, pairs, pairs, settings)
+        for said, _ in _chunks(batches, settings):
             if len(said.names) < 3:
                 continue
             two = pair_names(said.names[:-1], said.names[1:])
@@ -225,34 +238,34 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair_names(left, right).view(np.int64))], names=["a_name", "b_name", "n", "name"])
 
 
-def units(frequent: DataFrame, by: str) -> Units:
-    """What tasks need of the frequent units (name, and a count `by`): RANKED rows and BITS bits at most."""
-    top = frequent.orderBy(F.desc(by), "name").select("name").limit(RANKED).toArrow().column(0).to_numpy().view(np.uint64)
+def units(frequent: DataFrame, by: str, settings: Settings) -> Units:
+    """What tasks need of the frequent units (name, and a count `by`): `ranked` rows and `bits` bits at most."""
+    top = frequent.orderBy(F.desc(by), "name").select("name").limit(settings.ranked).toArrow().column(0).to_numpy().view(np.uint64)
     order = np.argsort(top)
-    slot = F.expr(f"name & {BITS - 1}L")
-    slots = frequent.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, CAST(name & 63 AS int)))").alias("bits"))
-    bitmap = np.zeros(BITS // 64, dtype=np.uint64)
+    slot = F.expr(f"name & {settings.bits - 1}L")
+    slots = frequent.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(name & 63 AS int)))").alias("bits"))
+    bitmap = np.zeros(settings.bits // 64, dtype=np.uint64)
     for batch in slots.toArrow().to_batches():
         bitmap[batch.column(0).to_numpy()] = batch.column(1).to_numpy().view(np.uint64)
     return Units(top[order], order, top, bitmap)
 
 
-def phrase_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, settings: Settings = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """(words, phrases): every word of each language with its count, and (lang, phrase, words, f) of the phrases of two to
-    four words with LEAST occurrences or more."""
+    four words with `least` occurrences or more."""
     spark = docs.sparkSession
     said = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    counted = said.mapInArrow(_words, "lang string, word string, name long, f long")
+    counted = said.mapInArrow(_words(settings), "lang string, word string, name long, f long")
     words = staged(counted.groupBy("lang", "word").agg(F.min("name").alias("name"), F.sum("f").alias("f")), "words")
-    frequent = words.where(f"f >= {LEAST}")
-    known = spark.sparkContext.broadcast(units(frequent, "f"))
-    total = lambda df: df.groupBy("kind", "a_name", "b_name").agg(F.sum("n").alias("n")).where(f"n >= {LEAST}")
+    frequent = words.where(f"f >= {settings.least}")
+    known = spark.sparkContext.broadcast(units(frequent, "f", settings))
+    total = lambda df: df.groupBy("kind", "a_name", "b_name").agg(F.sum("n").alias("n")).where(f"n >= {settings.least}")
     found = "kind int, a_name long, b_name long, n long"
-    twos = total(said.mapInArrow(lambda b: _pairs(known.value)(b), found)).select("a_name", "b_name", "n")
+    twos = total(said.mapInArrow(lambda b: _pairs(known.value, settings)(b), found)).select("a_name", "b_name", "n")
     twos = staged(twos.mapInArrow(_named, "a_name long, b_name long, n long, name long"), "pairs")
     release(spark)
-    pairs = spark.sparkContext.broadcast(units(twos, "n"))
-    more = staged(total(said.mapInArrow(lambda b: _longer(known.value, pairs.value)(b), found)), "longer")
+    pairs = spark.sparkContext.broadcast(units(twos, "n", settings))
+    more = staged(total(said.mapInArrow(lambda b: _longer(known.value, pairs.value, settings)(b), found)), "longer")
     release(spark)
 
     w = frequent.select(F.col("name").alias("name"), "lang", "word")
@@ -269,34 +282,33 @@ def phrase_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return words, staged(found, "phrases")
 
 
-def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
+def collocations(docs: DataFrame, top: int = TOP, settings: Settings = DEFAULT) -> DataFrame:
     """The first `top` phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
     Texts are lower-cased in A-Z, null is empty, a null language `und`. Delimiters part a text into pieces, blanks and tabs
     a piece into words; a phrase stands within a piece. Every row counts, repeated ones too. Ties of the cut
     go to the shorter first part, ties of the score to the larger count and then the smaller phrase.
-    Tables without a phrase of LEAST occurrences give no rows.
+    Tables without a phrase of `least` occurrences give no rows.
     """
-    spark = docs.sparkSession
-    words, phrases = phrase_counts(docs)
-    parts = words.where(f"f >= {LEAST}").select("lang", F.col("word").alias("phrase"), "f").unionByName(phrases.where("words < 4").select("lang", "phrase", "f"))
+    words, phrases = phrase_counts(docs, settings)
+    parts = words.where(f"f >= {settings.least}").select("lang", F.col("word").alias("phrase"), "f").unionByName(phrases.where("words < 4").select("lang", "phrase", "f"))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     cut = phrases.selectExpr("lang", "phrase", "f AS a", "split(phrase, ' ', -1) AS w").selectExpr("*", "explode(sequence(1, size(w) - 1)) AS k")
     cut = cut.selectExpr("lang", "phrase", "a", "k", "array_join(slice(w, 1, k), ' ') AS head", "array_join(slice(w, k + 1, size(w) - k), ' ') AS tail")
     scored = cut.join(parts.selectExpr("lang", "phrase AS head", "f AS l"), ["lang", "head"]).join(parts.selectExpr("lang", "phrase AS tail", "f AS r"), ["lang", "tail"])
     whole = "CAST({} AS decimal(20,0))"
-    score = f"CAST({SCALE} * {whole.format('a')} AS decimal(38,0)) div ({whole.format('l')} + {whole.format('r')})"
+    score = f"CAST({settings.scale} * {whole.format('a')} AS decimal(38,0)) div ({whole.format('l')} + {whole.format('r')})"
     best = scored.selectExpr("lang", "phrase", "a", f"struct({score} AS score, k, l, r) AS cut").groupBy("lang", "phrase").agg(F.min("cut").alias("cut"), F.first("a").alias("a"))
     inner = phrases.where("words > 2").selectExpr("lang", "f", "split(phrase, ' ', -1) AS w").selectExpr(
         "lang", "f", "explode(filter(flatten(transform(sequence(1, size(w) - 1), i -> transform(sequence(2, size(w)), "
         "m -> CASE WHEN m < size(w) AND i + m - 1 <= size(w) THEN array_join(slice(w, i, m), ' ') END))), p -> p IS NOT NULL)) AS phrase"
     )
     covered = inner.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
-    kept = best.join(covered, ["lang", "phrase"], "left").where(f"longer IS NULL OR 100 * {whole.format('longer')} < {CONTAINED} * {whole.format('a')}")
+    kept = best.join(covered, ["lang", "phrase"], "left").where(f"longer IS NULL OR 100 * {whole.format('longer')} < {settings.contained} * {whole.format('a')}")
     kept = kept.selectExpr("lang", "phrase", "a", "cut.l AS l", "cut.r AS r", "cut.score AS score")
-    # each language is ranked in SPREAD parts first, which bounds what the last ranking holds
+    # each language is ranked in `spread` parts first, which bounds what the last ranking holds
     order = "ORDER BY score DESC, a DESC, phrase"
-    near = kept.selectExpr("*", f"row_number() OVER (PARTITION BY lang, pmod(xxhash64(phrase), {SPREAD}) {order}) AS near").where(f"near <= {top}")
+    near = kept.selectExpr("*", f"row_number() OVER (PARTITION BY lang, pmod(xxhash64(phrase), {settings.spread}) {order}) AS near").where(f"near <= {top}")
     ranked = near.selectExpr("*", f"CAST(row_number() OVER (PARTITION BY lang {order}) AS bigint) AS rank").where(f"rank <= {top}")
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
@@ -317,11 +329,11 @@ def oracle() -> str:
       grams AS ({grams}),
       f AS (SELECT lang, phrase, words, count(*) AS f FROM grams GROUP BY ALL),
       total AS (SELECT lang, sum(f) AS n FROM f WHERE words = 1 GROUP BY lang),
-      c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= {LEAST}),
+      c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= {DEFAULT.least}),
       cuts AS (SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail FROM c, generate_series(1, 3) g(k) WHERE k < words),
       best AS (
         SELECT lang, phrase, any_value(a) AS a, min(struct_pack(score := score, k := k, l := l, r := r)) AS cut FROM (
-          SELECT cuts.*, x.f AS l, y.f AS r, (CAST({SCALE} AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) + y.f) AS score
+          SELECT cuts.*, x.f AS l, y.f AS r, (CAST({DEFAULT.scale} AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) + y.f) AS score
           FROM cuts JOIN f x ON struct_pack(l := x.lang, p := x.phrase) = struct_pack(l := cuts.lang, p := head)
             JOIN f y ON struct_pack(l := y.lang, p := y.phrase) = struct_pack(l := cuts.lang, p := tail))
         GROUP BY lang, phrase),
@@ -330,6 +342,6 @@ def oracle() -> str:
         WHERE m < words AND i + m - 1 <= words GROUP BY ALL),
       kept AS (
         SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY cut.score DESC, a DESC, encode(b.phrase)) AS rank
-        FROM best b LEFT JOIN covered v ON b.lang = v.lang AND b.phrase = v.phrase WHERE longer IS NULL OR 100 * longer < {CONTAINED} * a)
+        FROM best b LEFT JOIN covered v ON b.lang = v.lang AND b.phrase = v.phrase WHERE longer IS NULL OR 100 * longer < {DEFAULT.contained} * a)
       SELECT kept.lang, rank, phrase, a, CAST(cut.l AS BIGINT) AS l, CAST(cut.r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(cut.score AS BIGINT) AS score
       FROM kept JOIN total ON kept.lang = total.lang WHERE rank <= {TOP}"""
