@@ -33,11 +33,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished jobs now; it does so when the driver's JVM collects their plans."""
+def release(spark: SparkSession, *done: DataFrame) -> None:
+    """Gives disk back: deletes staged frames that nothing reads any more, and lets Spark delete the shuffle files of
+    finished jobs now; it does so when the driver's JVM collects their plans."""
     jvm = getattr(spark, "_jvm", None)
-    if jvm is not None:
-        jvm.System.gc()
+    if jvm is None:
+        return
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for df in done for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    jvm.System.gc()
 
 
 def lowered(text: Column) -> Column:

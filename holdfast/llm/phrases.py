@@ -36,14 +36,18 @@ class Settings:
     ranked: int = 65_536  # units that get a rank
     tile: int = 256  # ranks along a tile's side
     dense: int = 512  # pairs in a tile from which it is counted densely
-    held: int = 1_000_000  # pairs gathered in a task before they are counted
+    held: int = 500_000  # pairs gathered in a task before they are counted
     bits: int = 1 << 26  # of the bitmap of frequent units
     spread: int = 64  # parts a language's candidates are ranked in first
-    chunk: int = 1_000_000  # bytes of text handled at a time
+    chunk: int = 500_000  # bytes of text handled at a time
 
 
 DEFAULT = Settings()
 
+# A pair of ranked units is shuffled as one small number and its kind is raised by RANKS.
+RANKS = 10
+RANK_LIMIT = 1 << 20
+
 _U = np.uint64
 _TURN = _U(0x9E3779B97F4A7C15)
 
@@ -116,19 +120,29 @@ def _chunks(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[t
 
 
 def _words(settings: Settings):
-    """Tasks that return (lang, word, name, f) of each chunk."""
+    """Tasks that return (lang, word, f) of each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for said, languages in _chunks(batches, settings):
-            names, first, counts = np.unique(said.names, return_index=True, return_counts=True)
+            _, first, counts = np.unique(said.names, return_index=True, return_counts=True)
             data = said.data.tobytes()
             text = [data[a:b].decode() for a, b in zip(said.starts[first].tolist(), said.ends[first].tolist())]
             own = [languages[t] for t in said.text[first].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array(text, pa.string()), pa.array(names.view(np.int64)), pa.array(counts)], names=["lang", "word", "name", "f"])
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array(text, pa.string()), pa.array(counts)], names=["lang", "word", "f"])
 
     return run
 
 
+def _named_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to (lang, word, f) the names that texts give the words."""
+    for batch in batches:
+        tags = np.array([language_name(lang) for lang in batch.column(0).to_pylist()], dtype=np.uint64)
+        names = [np.zeros(0, np.uint64)]
+        for words in text_chunks(batch.column(1)):
+            names.append(mix(span_hashes(prefix_hashes(words.data), words.first[:-1], words.first[1:] - 1) + tags[words.rows]))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(names).view(np.int64))], names=["lang", "word", "f", "name"])
+
+
 class Tally:
     """Counts pairs of units, as many as `held` at a time."""
 
@@ -153,11 +167,9 @@ class Tally:
         ranked = (a >= 0) & (b >= 0)
         i, j, n = tiled(a[ranked], b[ranked], self.settings)
         far_left, far_right, far_n = coordinates(left[~ranked], right[~ranked])
-        left, right = np.concatenate([self.left.by_rank[i], far_left]), np.concatenate([self.right.by_rank[j], far_right])
-        n = np.concatenate([n, far_n])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(n), self.kind), pa.int32()), pa.array(left.view(np.int64)), pa.array(right.view(np.int64)), pa.array(n)], names=["kind", "a_name", "b_name", "n"]
-        )
+        kind = np.repeat([self.kind + RANKS, self.kind], [len(n), len(far_n)])
+        left, right = np.concatenate([i * RANK_LIMIT + j, far_left.view(np.int64)]), np.concatenate([np.zeros(len(n), np.int64), far_right.view(np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(left), pa.array(right), pa.array(np.concatenate([n, far_n]))], names=["kind", "left", "right", "n"])
 
 
 def tiled(a: np.ndarray, b: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,11 +243,21 @@ def _longer(words: Units, pairs: Units, settings: Settings):
     return run
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the name of each pair (a_name, b_name)."""
-    for batch in batches:
-        left, right = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair_names(left, right).view(np.int64))], names=["a_name", "b_name", "n", "name"])
+def _named(sides: dict[int, tuple[Units, Units]]):
+    """Tasks that turn counted pairs into (kind, a_name, b_name, n, name), name being the pair's own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, left, right = (batch.column(i).to_numpy() for i in range(3))
+            a, b = left.view(np.uint64).copy(), right.view(np.uint64).copy()
+            for k, (one, two) in sides.items():
+                own = kind == k + RANKS
+                a[own], b[own] = one.by_rank[left[own] // RANK_LIMIT], two.by_rank[left[own] % RANK_LIMIT]
+            kind = np.where(kind > RANKS, kind - RANKS, kind)
+            columns = [pa.array(kind, pa.int32()), *(pa.array(x.view(np.int64)) for x in (a, b)), batch.column(3), pa.array(pair_names(a, b).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "a_name", "b_name", "n", "name"])
+
+    return run
 
 
 def units(frequent: DataFrame, by: str, settings: Settings) -> Units:
@@ -255,17 +277,19 @@ def phrase_counts(docs: DataFrame, settings: Settings = DEFAULT) -> tuple[DataFr
     four words with `least` occurrences or more."""
     spark = docs.sparkSession
     said = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    counted = said.mapInArrow(_words(settings), "lang string, word string, name long, f long")
-    words = staged(counted.groupBy("lang", "word").agg(F.min("name").alias("name"), F.sum("f").alias("f")), "words")
+    counted = said.mapInArrow(_words(settings), "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
+    words = staged(counted.mapInArrow(_named_words, "lang string, word string, f long, name long"), "words")
+    release(spark)
     frequent = words.where(f"f >= {settings.least}")
     known = spark.sparkContext.broadcast(units(frequent, "f", settings))
-    total = lambda df: df.groupBy("kind", "a_name", "b_name").agg(F.sum("n").alias("n")).where(f"n >= {settings.least}")
-    found = "kind int, a_name long, b_name long, n long"
-    twos = total(said.mapInArrow(lambda b: _pairs(known.value, settings)(b), found)).select("a_name", "b_name", "n")
-    twos = staged(twos.mapInArrow(_named, "a_name long, b_name long, n long, name long"), "pairs")
+    total = lambda df: df.groupBy("kind", "left", "right").agg(F.sum("n").alias("n")).where(f"n >= {settings.least}")
+    found, named = "kind int, left long, right long, n long", "kind int, a_name long, b_name long, n long, name long"
+    twos = total(said.mapInArrow(lambda b: _pairs(known.value, settings)(b), found))
+    twos = staged(twos.mapInArrow(lambda b: _named({2: (known.value, known.value)})(b), named), "pairs")
     release(spark)
     pairs = spark.sparkContext.broadcast(units(twos, "n", settings))
-    more = staged(total(said.mapInArrow(lambda b: _longer(known.value, pairs.value, settings)(b), found)), "longer")
+    more = total(said.mapInArrow(lambda b: _longer(known.value, pairs.value, settings)(b), found))
+    more = staged(more.mapInArrow(lambda b: _named({3: (pairs.value, known.value), 4: (pairs.value, pairs.value)})(b), named), "longer")
     release(spark)
 
     w = frequent.select(F.col("name").alias("name"), "lang", "word")
@@ -275,8 +299,8 @@ def phrase_counts(docs: DataFrame, settings: Settings = DEFAULT) -> tuple[DataFr
     two = staged(two, "pair_texts")
     head = two.select(F.col("name").alias("a_name"), "lang", F.col("phrase").alias("a"))
     tail = two.select(F.col("name").alias("b_name"), F.col("phrase").alias("b"))
-    three = more.where("kind = 3").join(head, "a_name").join(right, "b_name")
-    four = more.where("kind = 4").join(head, "a_name").join(tail, "b_name")
+    three = more.where("kind = 3").drop("name").join(head, "a_name").join(right, "b_name")
+    four = more.where("kind = 4").drop("name").join(head, "a_name").join(tail, "b_name")
     longer = lambda df, k: df.select("lang", F.concat_ws(" ", "a", "b").alias("phrase"), F.lit(k).alias("words"), F.col("n").alias("f"))
     found = two.select("lang", "phrase", F.lit(2).alias("words"), F.col("n").alias("f")).unionByName(longer(three, 3)).unionByName(longer(four, 4))
     return words, staged(found, "phrases")

@@ -6,7 +6,7 @@ hash of any `GRAM` bytes in the string. (A cover by residues has that property f
 and samples three times as many.) The sampled grams are counted first, over all texts; a gram
 that only one text has rules out all suffixes it covers. The other suffixes fall into buckets by the gram
 that covers them. Buckets are read one after the other, in streams ordered by bucket and document, and suffixes
-are grouped by bucket and 64-bit names of LENGTH bytes, whose bytes are then compared; grams get no ranks and
+are grouped by 64-bit names of LENGTH bytes, whose bytes are then compared; grams get no ranks and
 suffixes no order. Buckets with very many suffixes are cut further, by the name itself.
 """
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import Texts, lists, prefix_hashes, span_hashes, text_chunks
+from holdfast.llm.common import Texts, prefix_hashes, release, span_hashes, text_chunks
 from holdfast.llm.links import few
 from holdfast.session import staged
 
@@ -150,29 +150,33 @@ def _suffix_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _equal_groups(buckets: np.ndarray, strings: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, head): the rows ordered by bucket, string and owner, and for each ordered row its group's first.
+def _equal_groups(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, head): the strings that begin there with equal ones together, else in the order given, and for
+    each ordered string the first of its group.
 
-    Hashes of the strings bring equal ones together and the bytes are compared; where two unlike
+    Hashes bring equal strings together and the bytes are compared, eight at a time; where two unlike
     strings share a hash, the strings themselves are sorted instead.
     """
-    flat = np.ascontiguousarray(strings).reshape(-1)
-    at = np.arange(len(strings)) * LENGTH
-    keys = span_hashes(prefix_hashes(flat), at, at + LENGTH)
+    words = np.ndarray(len(data) - 7, dtype=np.uint64, buffer=data, strides=(1,))
+    steps = [*range(0, LENGTH - 8, 8), LENGTH - 8]
+    keys = span_hashes(prefix_hashes(data), begin, begin + LENGTH)
     while True:
-        order = np.lexsort((owners, keys, buckets))
+        order = np.argsort(keys, kind="stable")
         fresh = np.ones(len(order), dtype=bool)
-        fresh[1:] = (np.diff(keys[order]) != 0) | (np.diff(buckets[order]) != 0)
+        fresh[1:] = np.diff(keys[order]) != 0
         head = np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
         later = np.flatnonzero(~fresh)
-        if (strings[order[later]] == strings[order[head[later]]]).all():
+        one, other = begin[order[later]], begin[order[later - 1]]
+        if all((words[one + i] == words[other + i]).all() for i in steps):
             return order, head
+        strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[begin]
         keys = np.unique(strings, axis=0, return_inverse=True)[1].reshape(-1)
 
 
 def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffix groups ordered by bucket and document to (doc, low, high): starts of strings that a smaller
-    document has. Of the last bucket only the strings seen and their smallest document are carried on."""
+    document has. Equal strings are in one bucket. Of the last bucket only the strings seen and their smallest
+    document are carried on."""
     carried: tuple[int, np.ndarray, np.ndarray] | None = None
     for batch in batches:
         if not len(batch):
@@ -185,18 +189,20 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         counts = np.diff(offsets) - LENGTH + 1
         row = np.repeat(np.arange(len(counts)), counts)
         place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[offsets[row] + place]
-        owner, buckets, own = doc[row], bucket[row], len(row)
+        begin, owner, in_last = offsets[row] + place, doc[row], bucket[row] == bucket[-1]
+        own = 0  # strings carried, before those of the batch
         if carried is not None and carried[0] == bucket[0]:
-            strings = np.concatenate([strings, carried[1]])
-            owner = np.concatenate([owner, carried[2]])
-            buckets = np.concatenate([buckets, np.full(len(carried[2]), carried[0])])
-        order, head = _equal_groups(buckets, strings, owner)
+            own = len(carried[2])
+            begin = np.concatenate([np.arange(own) * LENGTH, begin + own * LENGTH])
+            data = np.concatenate([carried[1].reshape(-1), data])
+            owner = np.concatenate([carried[2], owner])
+            in_last = np.concatenate([np.full(own, bucket[0] == bucket[-1]), in_last])
+        order, head = _equal_groups(data, begin)
         least = np.empty(len(order), dtype=owner.dtype)
         least[order] = owner[order[head]]
-        last = order[np.unique(head[buckets[order] == bucket[-1]])]
-        carried = (int(bucket[-1]), strings[last], owner[last])
-        again = least[:own] < owner[:own]
+        last = order[np.unique(head[in_last[order]])]
+        carried = (int(bucket[-1]), np.lib.stride_tricks.sliding_window_view(data, LENGTH)[begin[last]], owner[last])
+        again = least[own:] < owner[own:]
         edge = np.diff(np.concatenate([[0], again.astype(np.int8), [0]]))
         new_row = np.flatnonzero(np.concatenate([[True], np.diff(row) != 0]))
         rises = np.union1d(np.flatnonzero(edge == 1), new_row[again[new_row]])
@@ -237,12 +243,16 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
 
     `docs` has doc (integer, not null) and text; texts that others repeat whole should not be in it.
     """
+    spark = docs.sparkSession
+    release(spark)
     rows = docs.mapInArrow(_grams, "gram long, doc long, start long").repartition("gram").sortWithinPartitions("gram", "doc")
     shared = staged(rows.mapInArrow(_shared, "gram long, doc long, start long"), "shared")
+    release(spark)
     crowds = staged(shared.groupBy("gram").count().where(f"count >= {CROWD}").select("gram", F.lit(True).alias("crowded")), "crowds")
     marked = shared.join(few(crowds), "gram", "left").groupBy("doc")
     starts = marked.agg(F.expr("collect_list(CASE WHEN crowded IS NULL THEN start END)").alias("starts"), F.expr("collect_list(CASE WHEN crowded THEN start END)").alias("crowded"))
     starts = staged(starts, "starts")
+    release(spark, shared, crowds)
     texts = docs.join(few(starts.select("doc")), "doc", "left_semi").join(starts, "doc").select("doc", "text", "starts", "crowded")
     groups = texts.mapInArrow(_suffix_groups, "bucket long, doc long, start long, body binary")
     groups = groups.repartition("bucket").sortWithinPartitions("bucket", "doc")
@@ -264,6 +274,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     found = repeated_starts(searched.withColumnRenamed("doc_id", "doc"))
     runs = found.groupBy("doc").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
     runs = staged(runs.withColumnRenamed("doc", "doc_id"), "repeats")
+    release(docs.sparkSession)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     hit = named.join(few(runs.select("doc_id")), "doc_id", "left_semi").join(runs, "doc_id").select("doc_id", "text", "lows", "highs")
     plain = named.join(few(runs.select("doc_id")), "doc_id", "left_anti").join(few(copies), "doc_id", "left")

@@ -117,8 +117,8 @@ def _batch(rows):
 @pytest.mark.parametrize("sizes", [[9], [1, 1, 1, 2, 4]])
 @pytest.mark.parametrize("colliding", [False, True])
 def test_crowded_strings_are_told_apart(monkeypatch, sizes, colliding):
-    a, b = b"a" * 50, b"b" * 49 + b"\0"
-    rows = [(5, 1, 0, a), (5, 3, 7, a), (5, 4, 0, b), (7, 1, 3, b), (7, 2, 0, a + b[:1]), (7, 2, 1, a), (7, 8, 0, b), (9, 1, 0, a), (9, 2, 0, b)]
+    a, b, c, d, e = b"a" * 50, b"b" * 49 + b"\0", b"c" * 50, b"d" * 50, b"e" * 50
+    rows = [(5, 1, 0, a), (5, 3, 7, a), (5, 4, 0, b), (7, 1, 3, c), (7, 2, 0, d + c[:1]), (7, 2, 1, d), (7, 8, 0, c), (9, 1, 0, e), (9, 2, 0, e[1:] + b"f")]
     if colliding:  # every string has the same name
         monkeypatch.setattr(suffixes, "span_hashes", lambda sums, starts, ends: np.zeros(len(starts), np.uint64))
     batches, at = [], 0
