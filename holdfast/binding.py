@@ -6,17 +6,18 @@ zone (TIMESTAMP_NTZ); messages carry instants, as they do on a topic.
 
 from __future__ import annotations
 
-from datetime import datetime
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from holdfast.plans.nested import nested
-from holdfast.functions.times import from_utc
+from holdfast.functions.times import BUCKET, floor_bucket, from_utc
 from holdfast.operators.rollup import rollup
 from holdfast.vocabulary import stage_of
 
-AS_OF = datetime(2024, 1, 31)
-HISTORY_START = datetime(2024, 1, 1)
+# How long before the end of the data the dashboards are asked.
+ASKED_BEFORE = timedelta(hours=5, minutes=50)
 
 # Giving the schema saves a footer read per query.
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -84,9 +85,31 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_state(ledger(spark, sf_dir))
 
 
-def metrics(spark: SparkSession, sf_dir: str, start: datetime = HISTORY_START, end: datetime = AS_OF) -> DataFrame:
+@dataclass(frozen=True)
+class Times:
+    """The buckets that hold all rows, [start, as_of), and the moment dashboards are asked at."""
+
+    start: datetime
+    as_of: datetime
+
+    @property
+    def asked(self) -> datetime:
+        return self.as_of - ASKED_BEFORE
+
+
+def times(rows: DataFrame) -> Times:
+    """Read off the ledger in one aggregate; an empty one covers nothing."""
+    first, last = rows.selectExpr("min(least(occurred_at, ingested_at)) AS first", "max(ingested_at) AS last").first()
+    if first is None:
+        return Times(datetime(1970, 1, 1), datetime(1970, 1, 1))
+    return Times(floor_bucket(first), floor_bucket(last) + BUCKET)
+
+
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows of the ledger, rolled up anew."""
     rows = ledger(spark, sf_dir)
-    return rollup(rows, order_state(rows), start, end, AS_OF)
+    over = times(rows)
+    return rollup(rows, order_state(rows), over.start, over.as_of, over.as_of)
 
 
 def event_actions(rows: DataFrame) -> DataFrame:

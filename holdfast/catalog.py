@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from holdfast import binding
-from holdfast.binding import AS_OF, HISTORY_START
 from holdfast.functions.times import as_utc
 from holdfast.operators import intake, kpi, lists, ops, quarantine, rollup, rules, snapshot, timeseries
 from holdfast.session import scratch_path, staged
 from holdfast.sources.messages import decode_messages, land_raw, read_messages, split_bad
 from holdfast.sources.tables import alert_payloads, append_ledger, first_arrivals, read_table, write_metrics
+from holdfast.stored import stored
+from holdfast.streaming import held, live, keyed, runner, windows
 from holdfast.streaming import intake as streamed
-from holdfast.streaming import keyed, runner, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Moment the dashboards are asked at, inside the data.
-DAY = datetime(2024, 1, 30, 18, 10)
 # The real limits never fire on the driver's sparse events, so the queries widen them.
 WIDE_USER = rules.Burst(86_400.0, 5)
 WIDE_PRODUCT = rules.Burst(21_600.0, 5)
@@ -227,12 +226,16 @@ def quarantine_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("seq", "order_id", "current_status", "reason")
 
 
-@query
-def quarantine_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _classified_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = rules.classify_anchored(_coarse(_created(binding.ledger(spark, sf_dir))), WIDE_ANCHORED)
     rows = rules.hold_decision(decided, "anchored")
     slim = ["seq", "order_id", "user_id", "product_id", "created_at", "reason", "hold_reason", "current_status"]
-    return quarantine.quarantine_pair(staged(rows.select(*slim), "classified"), WIDE_LOOKBACK)
+    return staged(rows.select(*slim), "classified")
+
+
+@query
+def quarantine_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quarantine.quarantine_pair(_classified_pairs(spark, sf_dir), WIDE_LOOKBACK)
 
 
 # --- snapshot ------------------------------------------------------------------------
@@ -335,63 +338,61 @@ def rollup_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = binding.ledger(spark, sf_dir)
     errors = rows.where("k >= 95").selectExpr("ingested_at AS occurred_at")
     rejects = snapshot.rejected_rows(_gappy(rows)).select("ingested_at")
-    counted = rollup.rollup(rows, binding.order_state(rows), HISTORY_START, AS_OF, AS_OF, errors, rejects)
+    over = binding.times(rows)
+    counted = rollup.rollup(rows, binding.order_state(rows), over.start, over.as_of, over.as_of, errors, rejects)
     return counted.select("window_start", "ingest_count", "parse_errors", "schema_missing")
 
 
-def _stored(spark: SparkSession, sf_dir: str, end: datetime) -> DataFrame:
-    return binding.metrics(spark, sf_dir, HISTORY_START, end)
-
-
 @query
 def rollup_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windows missing behind a store that stops a day early."""
+    kept = stored(spark, sf_dir)
+    early = kept.metrics(spark).where(F.col("window_end") <= F.lit(kept.times.as_of - timedelta(days=1)).cast("timestamp_ntz"))
     rows = binding.ledger(spark, sf_dir)
-    stored = _stored(spark, sf_dir, AS_OF - timedelta(days=1))
-    return _rounded(rollup.fill_gaps(rows, binding.order_state(rows), stored, AS_OF))
+    return _rounded(rollup.fill_gaps(rows, binding.order_state(rows), early, kept.times.as_of))
 
 
 @query
 def rollup_reroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = binding.ledger(spark, sf_dir)
-    return _rounded(rollup.reroll_recent(rows, binding.order_state(rows), DAY))
+    return _rounded(rollup.reroll_recent(rows, binding.order_state(rows), binding.times(rows).asked))
 
 
 @query
 def rollup_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = binding.ledger(spark, sf_dir)
     empty = spark.createDataFrame([], "window_start timestamp_ntz, window_end timestamp_ntz")
-    return _rounded(rollup.backfill(rows, binding.order_state(rows), empty, DAY, backfill_days=7))
+    return _rounded(rollup.backfill(rows, binding.order_state(rows), empty, binding.times(rows).asked, backfill_days=7))
 
 
 @query
 def metrics_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored windows after an upsert of their last two days, by a later run."""
+    """Stored windows after an upsert of their last two days, by an earlier run's moment."""
     rows = binding.ledger(spark, sf_dir)
+    orders, over = binding.order_state(rows), binding.times(rows)
     path = scratch_path(spark, "metrics_window")
-    write_metrics(spark, _stored(spark, sf_dir, AS_OF - timedelta(days=1)), path)
-    write_metrics(spark, rollup.rollup(rows, binding.order_state(rows), AS_OF - timedelta(days=2), AS_OF, DAY), path)
+    write_metrics(spark, rollup.rollup(rows, orders, over.start, over.as_of - timedelta(days=1), over.as_of), path)
+    write_metrics(spark, rollup.rollup(rows, orders, over.as_of - timedelta(days=2), over.as_of, over.asked), path)
     return _rounded(read_table(spark, path))
 
 
 @query
 def latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(rollup.latest_window(binding.metrics(spark, sf_dir)))
+    return _rounded(rollup.latest_window(stored(spark, sf_dir).metrics(spark)))
 
 
 @query
 def max_window_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.max_window_end(binding.metrics(spark, sf_dir))
+    return rollup.max_window_end(stored(spark, sf_dir).metrics(spark))
 
 
-# --- dashboards ----------------------------------------------------------------------
+# --- dashboards: over the stored windows of their range -------------------------------
 
 
 def _points(spark: SparkSession, sf_dir: str, preset: str) -> DataFrame:
-    rows = binding.ledger(spark, sf_dir)
-    orders = binding.order_state(rows)
-    metrics = rollup.rollup(rows, orders, HISTORY_START, AS_OF, AS_OF)
-    return timeseries.timeseries(preset, metrics, orders, DAY)
+    kept = stored(spark, sf_dir)
+    asked = kept.times.asked
+    return timeseries.timeseries(preset, kept.metrics(spark, *timeseries.preset_range(preset, asked)), kept.orders(spark), asked)
 
 
 @query
@@ -416,10 +417,9 @@ def ts_30d_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = binding.ledger(spark, sf_dir)
-    orders = binding.order_state(rows)
-    metrics = rollup.rollup(rows, orders, HISTORY_START, AS_OF, AS_OF)
-    return _rounded(kpi.summary(orders, rows, metrics, DAY))
+    kept = stored(spark, sf_dir)
+    asked = kept.times.asked
+    return _rounded(kpi.summary(kept.orders(spark), kept.ledger(spark, asked), kept.metrics(spark), asked))
 
 
 @query
@@ -441,7 +441,8 @@ def kpi_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def on_time_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(kpi.on_time_rate(binding.orders(spark, sf_dir), DAY))
+    kept = stored(spark, sf_dir)
+    return _rounded(kpi.on_time_rate(kept.orders(spark), kept.times.asked))
 
 
 # --- lists ---------------------------------------------------------------------------
@@ -525,14 +526,14 @@ def ops_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ops_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = binding.ledger(spark, sf_dir)
-    moved = ops.ops_counter_deltas(ops.ops_transitions(rows, binding.event_actions(rows)), binding.metrics(spark, sf_dir))
+    moved = ops.ops_counter_deltas(ops.ops_transitions(rows, binding.event_actions(rows)), stored(spark, sf_dir).metrics(spark))
     return moved.select("window_start", "alerts_open", "alerts_ack", "alerts_resolved", "alerts_retry")
 
 
 @query
 def ops_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = binding.ledger(spark, sf_dir)
-    return ops.ops_audit(rows, binding.event_actions(rows), binding.metrics(spark, sf_dir))
+    return ops.ops_audit(rows, binding.event_actions(rows), stored(spark, sf_dir).metrics(spark))
 
 
 # --- streams, run over the events file until it is read ------------------------------
@@ -595,9 +596,126 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     binding.messages(spark, sf_dir).write.parquet(topic)
     messages = read_messages(spark, "parquet", {"path": topic})
     streamed.run_intake(messages, None, "ingest", f"{out}/tables", f"{out}/checkpoint")
-    orders = streamed.read_intake(spark, f"{out}/tables")["orders"]
+    orders = streamed.read_intake(spark, f"{out}/tables", "ingest")["orders"]
     return orders.selectExpr(
         "order_id", "user_id", "product_id", "product_name", "shipping_address", "current_stage", "current_status", "last_event_type",
         f"{as_utc('last_occurred_at')} AS last_occurred_at", "hold_reason_code", "raw_reference.offset AS last_offset",
         f"{as_utc('created_at')} AS created_at",
     )
+
+
+# --- streams over several micro-batches ----------------------------------------------
+
+BATCHES = 4
+
+
+def _split_stream(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a stream of BATCHES micro-batches that each hold rows of all times."""
+    path = scratch_path(spark, name)
+    mixed = rows.withColumn("_batch", F.expr(f"CAST(pmod(xxhash64(seq), {BATCHES}) AS int)"))
+    for batch in range(BATCHES):
+        mixed.where(F.col("_batch") == batch).drop("_batch").coalesce(8).write.parquet(f"{path}/{batch}")
+    files = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 8)
+    return files.parquet(path)
+
+
+def _slices(rows: DataFrame, order: str) -> list[DataFrame]:
+    """The rows in BATCHES parts that follow each other by a number."""
+    at = rows.selectExpr(f"percentile_approx({order}, array({', '.join(str(i / BATCHES) for i in range(1, BATCHES))})) AS cuts").first()["cuts"] or []
+    low, high = [None, *at], [*at, None]
+    inside = lambda a, b: " AND ".join([*([] if a is None else [f"{order} >= {a}"]), *([] if b is None else [f"{order} < {b}"])]) or "true"
+    return [rows.where(inside(a, b)) for a, b in zip(low, high)]
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts of micro-batches out of time order; late rows are counted and kept."""
+    out = scratch_path(spark, "live")
+    live.run_windows(_split_stream(spark, binding.ledger(spark, sf_dir), "ledger"), f"{out}/tables", f"{out}/checkpoint")
+    return live.window_counts(spark, f"{out}/tables").drop("late_rows").withColumnRenamed("ingest_count", "event_total")
+
+
+@query
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metrics windows, percentiles and distinct held orders included, from what micro-batches added."""
+    rows, out = binding.ledger(spark, sf_dir), scratch_path(spark, "live")
+    live.run_windows(_split_stream(spark, rows, "ledger"), f"{out}/tables", f"{out}/checkpoint")
+    over = binding.times(rows)
+    return _rounded(live.live_metrics(spark, f"{out}/tables", binding.order_state(rows), over.start, over.as_of, over.as_of))
+
+
+def _quarantined(spark: SparkSession, rows: DataFrame, pair: bool) -> tuple[DataFrame, DataFrame]:
+    """(rows, marks) of a stream of classified rows that goes on in BATCHES runs, in order of arrival."""
+    topic, out = scratch_path(spark, "classified"), scratch_path(spark, "held")
+    for part in _slices(rows, "seq"):
+        part.write.mode("append").parquet(topic)
+        stream = spark.readStream.schema(rows.schema).parquet(topic)
+        runner.run_available(stream, lambda df, batch: held.mark_batch(df, batch, f"{out}/tables", WIDE_LOOKBACK, pair), f"{out}/checkpoint")
+    return spark.read.parquet(topic), held.marks_of(spark, f"{out}/tables")
+
+
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, marks = _quarantined(spark, _classified(spark, sf_dir), False)
+    return quarantine.quarantine_orders(rows, quarantined=marks)
+
+
+@query
+def stream_quarantine_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, marks = _quarantined(spark, _classified(spark, sf_dir), False)
+    return quarantine.quarantine_ledger(rows, marks).select("seq", "order_id", "current_status", "reason")
+
+
+@query
+def stream_quarantine_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, marks = _quarantined(spark, _classified_pairs(spark, sf_dir), True)
+    last = rows.where("order_id IS NOT NULL").groupBy("order_id").agg(F.max_by(F.struct("seq", "current_status", "hold_reason"), "seq").alias("l"))
+    orders = last.selectExpr("order_id", "l.seq AS raw_reference", "l.current_status AS current_status", "l.hold_reason AS hold_reason_code")
+    return held.held_pairs(orders, marks).drop("raw_reference")
+
+
+def _snapshots(spark: SparkSession, sf_dir: str, profile: str) -> DataFrame:
+    out = scratch_path(spark, "states")
+    rows = _created(binding.ledger(spark, sf_dir))
+    streamed.run_snapshots(_split_stream(spark, rows, "rows"), profile, f"{out}/states", f"{out}/checkpoint")
+    return streamed.read_snapshots(spark, f"{out}/states", profile).select(*_SHOWN)
+
+
+@query
+def stream_snapshot_sticky(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snapshots(spark, sf_dir, "cascade")
+
+
+@query
+def stream_snapshot_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snapshots(spark, sf_dir, "anchored")
+
+
+def _profile_run(spark: SparkSession, sf_dir: str, profile: str, rows: DataFrame, **limits) -> DataFrame:
+    """Orders of a topic that grows in BATCHES steps, in order of arrival, the intake running after each."""
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "intake")
+    for part in _slices(binding.envelopes(rows), "unix_micros(ingested_at)"):
+        part.write.mode("append").parquet(topic)
+        messages = read_messages(spark, "parquet", {"path": topic})
+        listed = lambda session: binding.products(session, sf_dir)
+        streamed.run_intake(messages, listed, profile, f"{out}/tables", f"{out}/checkpoint", WIDE_LOOKBACK, **limits)
+    orders = streamed.read_intake(spark, f"{out}/tables", profile)["orders"]
+    return orders.selectExpr(
+        "order_id", "user_id", "product_id", "current_stage", "current_status", f"{as_utc('last_occurred_at')} AS last_occurred_at", "hold_reason_code",
+        "raw_reference.offset AS reference", f"{as_utc('created_at')} AS created_at",
+    )
+
+
+@query
+def stream_intake_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profile_run(spark, sf_dir, "cascade", binding.ledger(spark, sf_dir), user_burst=WIDE_USER, product_burst=WIDE_PRODUCT)
+
+
+@query
+def stream_intake_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profile_run(spark, sf_dir, "paid_anomaly", binding.ledger(spark, sf_dir), burst=WIDE_PAID)
+
+
+@query
+def stream_intake_anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profile_run(spark, sf_dir, "anchored", _coarse(binding.ledger(spark, sf_dir)), burst=WIDE_ANCHORED)

@@ -131,13 +131,13 @@ def snapshot_input(rows: DataFrame, profile: str, stored_at: str = "ingested_at"
     return with_columns(rows, new)
 
 
-def ledger_input(rows: DataFrame, profile: str) -> DataFrame:
-    """Classified rows as ledger rows, still with ``seq``."""
+def ledger_input(rows: DataFrame, profile: str, *more: str) -> DataFrame:
+    """Classified rows as ledger rows, still with ``seq``, and ``more`` expressions over the classified ones."""
     own_time = profile in ("cascade", "anchored")
     occurred, ingested = ("created_at", "created_at") if own_time else ("occurred_at", "ingested_at")
     return rows.selectExpr(
         "event_id", "seq", "order_id", "ledger_type AS event_type", "ledger_status AS current_status", "hold_reason AS reason_code",
-        f"{occurred} AS occurred_at", f"{ingested} AS ingested_at",
+        f"{occurred} AS occurred_at", f"{ingested} AS ingested_at", *more,
     )
 
 

@@ -74,7 +74,14 @@ def quarantine_cascade(classified: DataFrame, lookback: float = CASCADE_LOOKBACK
     The last trigger by arrival decides the reason; triggers that arrived before the
     order was first written do not count.
     """
-    first = first_writes(classified)
+    return cascade_marks(first_writes(classified), classified, lookback, classified, split)
+
+
+def cascade_marks(first: DataFrame, classified: DataFrame, lookback: float, rows: DataFrame, split: Split = DEFAULT_SPLIT) -> DataFrame:
+    """(order_id, q_seq, q_reason) of the orders with first rows ``first`` that triggers in ``classified`` reach.
+
+    ``rows`` are rows to place the cuts of heavy keys by.
+    """
     users = classified.where(f"reason = '{FRAUD_USER}'")
     items = classified.where(f"reason = '{FRAUD_PRODUCT}'")
     return classified.sparkSession.sql(
@@ -89,16 +96,19 @@ def quarantine_cascade(classified: DataFrame, lookback: float = CASCADE_LOOKBACK
               UNION ALL SELECT order_id, trigger, '{FRAUD_PRODUCT}' FROM {{by_product}}
             """,
         ),
-        by_user=last_trigger(first, users, ["user_id"], lookback, classified, split),
-        by_product=last_trigger(first, items, ["product_id"], lookback, classified, split),
+        by_user=last_trigger(first, users, ["user_id"], lookback, rows, split),
+        by_product=last_trigger(first, items, ["product_id"], lookback, rows, split),
         first=first,
     )
 
 
-def quarantine_orders(classified: DataFrame, lookback: float = CASCADE_LOOKBACK, split: Split = DEFAULT_SPLIT) -> DataFrame:
+def quarantine_orders(
+    classified: DataFrame, lookback: float = CASCADE_LOOKBACK, split: Split = DEFAULT_SPLIT, quarantined: DataFrame | None = None
+) -> DataFrame:
     """Final status and reason per order: (order_id, current_status, hold_reason_code).
 
     Sticky: any own HOLD stays, and the first own reason is kept unless a trigger matched.
+    ``quarantined`` gives marks (order_id, q_reason) that are known already.
     """
     return classified.sparkSession.sql(
         nested(
@@ -115,7 +125,7 @@ def quarantine_orders(classified: DataFrame, lookback: float = CASCADE_LOOKBACK,
             """,
         ),
         classified=classified,
-        quarantined=quarantine_cascade(classified, lookback, split),
+        quarantined=quarantine_cascade(classified, lookback, split) if quarantined is None else quarantined,
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ WINDOW_COLUMNS = [
     "window_start", "window_end", *FLOW_COLUMNS, "hold_rate", *INGEST_COLUMNS, "backlog", "holds_now",
     "late_orders", *EVENT_COLUMNS, "delay_p95_sec", *ALERT_COLUMNS, "created_at",
 ]
-_COUNTED = [*FLOW_COLUMNS, "ingest_count", "parse_errors", "schema_missing", "event_errors", *ALERT_COLUMNS]
+COUNTED = [*FLOW_COLUMNS, "ingest_count", "parse_errors", "schema_missing", "event_errors", *ALERT_COLUMNS]
 # Delays are first counted by their high bits; one group spans 2**20 microseconds.
 _LOW_BITS = 20
 # Up to this many windows, two rows per window are broadcast.
@@ -50,6 +51,21 @@ def _occurrences(df: DataFrame, time: str, column: str, start: datetime, end: da
     return df.where(between(time, like, start, end)).selectExpr(f"{bucket_start(time)} AS ts", f"1L AS {column}")
 
 
+def arrived_rows(events: DataFrame) -> DataFrame:
+    """Ledger rows with their window ``ts`` and ``_delay``, the microseconds from occurrence to arrival."""
+    return events.selectExpr("*", f"{bucket_start('ingested_at')} AS ts", "timestampdiff(MICROSECOND, occurred_at, ingested_at) AS _delay")
+
+
+def counted_rows(arrived: DataFrame) -> DataFrame:
+    """What each row adds to the counts of its window."""
+    held = f"current_status = '{HOLD}'"
+    alerts = [f"CAST({held} AND coalesce(ops_status, 'OPEN') = '{s}' AS bigint) AS {c}" for s, c in ALERT_COUNTERS.items()]
+    return arrived.selectExpr(
+        "ts", "CAST(current_status = 'PAID' AS bigint) AS payments", "CAST(current_status = 'SHIPPED' AS bigint) AS shipped",
+        "1L AS ingest_count", f"CAST({held} AS bigint) AS event_errors", *alerts,
+    )
+
+
 def rollup(
     events: DataFrame,
     orders: DataFrame,
@@ -61,51 +77,55 @@ def rollup(
 ) -> DataFrame:
     """Metrics of every whole 30-minute window in [start, end).
 
-    Every source becomes rows of (window, small numbers), and all of them meet in one
-    grouped sum. The exact delay percentile narrows in two counts instead of holding a
-    window's delays in one task: counts per (window, high bits of the delay) locate the
-    groups of the two ranks needed, and a second narrow scan counts exact delays only
-    inside those groups. Both counts combine before the shuffle, so a busy window costs
-    partial sums, and a located group has at most 2**20 distinct values.
-
     ``errors`` (with occurred_at) and ``rejects`` (with ingested_at) count as parse_errors
     and schema_missing; without them both are 0.
     """
     start = floor_bucket(start)
     windows = window_count(start, end)
     end = start + BUCKET * windows
-    spark = events.sparkSession
     like = type_of(events, "ingested_at")
-    held = f"current_status = '{HOLD}'"
-    alerts = [f"CAST({held} AND coalesce(ops_status, 'OPEN') = '{s}' AS bigint) AS {c}" for s, c in ALERT_COUNTERS.items()]
-    arrived = events.where(between("ingested_at", like, start, end)).selectExpr(
-        "*", f"{bucket_start('ingested_at')} AS ts", "timestampdiff(MICROSECOND, occurred_at, ingested_at) AS _delay"
-    )
-    counted = arrived.selectExpr(
-        "ts", "CAST(current_status = 'PAID' AS bigint) AS payments", "CAST(current_status = 'SHIPPED' AS bigint) AS shipped",
-        "1L AS ingest_count", f"CAST({held} AS bigint) AS event_errors", *alerts,
-    )
+    arrived = arrived_rows(events.where(between("ingested_at", like, start, end)))
+    parts = [counted_rows(arrived), _occurrences(orders, "created_at", "orders", start, end)]
+    if errors is not None:
+        parts.append(_occurrences(errors, "occurred_at", "parse_errors", start, end))
+    if rejects is not None:
+        parts.append(_occurrences(rejects, "ingested_at", "schema_missing", start, end))
+    delays = arrived.where("_delay IS NOT NULL").selectExpr("ts", "_delay", "1L AS _n")
+    points = spine(events.sparkSession, start, end - BUCKET, BUCKET, like)
+    return window_metrics(points, windows, parts, delays, arrived.select("order_id", "ts"), orders, as_of)
+
+
+def window_metrics(
+    points: DataFrame, windows: int, parts: Sequence[DataFrame], delays: DataFrame, seen: DataFrame, orders: DataFrame, as_of: datetime
+) -> DataFrame:
+    """Metrics of the windows in ``points`` (``ts``, ``windows`` of them) from what adds up to them.
+
+    ``parts`` are rows of (ts, some counts), ``delays`` rows of (ts, _delay, _n) and ``seen`` rows of (order_id,
+    ts), whole or summed up before, repeated or not; all lie in the windows of ``points``. Every source becomes rows of
+    (window, small numbers), and all of them meet in one grouped sum. The exact delay percentile narrows in two
+    counts instead of holding a window's delays in one task: counts per (window, high bits of the delay) locate the
+    groups of the two ranks needed, and a second narrow scan counts exact delays only
+    inside those groups. Both counts combine before the shuffle, so a busy window costs
+    partial sums, and a located group has at most 2**20 distinct values.
+    """
+    spark = orders.sparkSession
+    like = type_of(points, "ts")
     # A window set per order: partial sets bound what a busy order brings to the shuffle,
     # and the join reuses its partitioning.
     holds = spark.sql(
         f"""
         SELECT explode(t.windows) AS ts, 1L AS holds
-        FROM (SELECT order_id, collect_set(ts) AS windows FROM {{arrived}} WHERE order_id IS NOT NULL GROUP BY order_id) t
+        FROM (SELECT order_id, collect_set(ts) AS windows FROM {{seen}} WHERE order_id IS NOT NULL GROUP BY order_id) t
         LEFT SEMI JOIN (SELECT order_id FROM {{orders}} WHERE current_status IN ({quoted(HELD_STATUSES)})) h ON t.order_id = h.order_id
         """,
-        arrived=arrived,
+        seen=seen,
         orders=orders,
     )
-    parts = [spine(spark, start, end - BUCKET, BUCKET, like), counted, holds, _occurrences(orders, "created_at", "orders", start, end)]
-    if errors is not None:
-        parts.append(_occurrences(errors, "occurred_at", "parse_errors", start, end))
-    if rejects is not None:
-        parts.append(_occurrences(rejects, "ingested_at", "schema_missing", start, end))
-    merged = parts[0]
-    for part in parts[1:]:
+    merged = points
+    for part in [*parts, holds]:
         merged = merged.unionByName(part, allowMissingColumns=True)
 
-    present = [c for c in _COUNTED if c in merged.columns]
+    present = [c for c in COUNTED if c in merged.columns]
     total = lambda c: f"coalesce(sum({c}), 0L)" if c in present else "0L"
     hint = "/*+ BROADCAST(g) */" if windows <= _BROADCAST_WINDOWS else ""
     return spark.sql(
@@ -118,8 +138,8 @@ def rollup(
               {', '.join('s.' + c for c in ALERT_COLUMNS)}, {at(as_of, like)} AS created_at
             FROM @sums s LEFT JOIN @p95 p ON s.ts = p.ts
             """,
-            delays=f"SELECT ts, _delay, shiftright(_delay, {_LOW_BITS}) AS _high FROM {{arrived}} WHERE _delay IS NOT NULL",
-            coarse="SELECT ts, _high, count(*) AS _n FROM @delays GROUP BY ts, _high",
+            delays=f"SELECT ts, _delay, _n, shiftright(_delay, {_LOW_BITS}) AS _high FROM {{delays}}",
+            coarse="SELECT ts, _high, sum(_n) AS _n FROM @delays GROUP BY ts, _high",
             placed=f"""
               SELECT ts, _high, _n, sum(_n) OVER (PARTITION BY ts ORDER BY _high ROWS UNBOUNDED PRECEDING) AS upto,
                 {P95}D * (sum(_n) OVER (PARTITION BY ts) - 1) AS rank
@@ -130,7 +150,7 @@ def rollup(
               FROM @placed WHERE upto > floor(rank) AND upto - _n <= ceil(rank)
             """,
             exact=f"""
-              SELECT {hint} a.ts, a._high, a._delay, count(*) AS _n
+              SELECT {hint} a.ts, a._high, a._delay, sum(a._n) AS _n
               FROM @delays a LEFT SEMI JOIN @located g ON a.ts = g.ts AND a._high = g._high
               GROUP BY a.ts, a._high, a._delay
             """,
@@ -143,10 +163,10 @@ def rollup(
               SELECT ts, min(CASE WHEN upto > low THEN _delay END) AS a, min(CASE WHEN upto > top THEN _delay END) AS b, first(share) AS share
               FROM @ranked GROUP BY ts
             """,
-            sums=f"SELECT ts, {', '.join(f'{total(c)} AS {c}' for c in _COUNTED)} FROM {{merged}} GROUP BY ts",
+            sums=f"SELECT ts, {', '.join(f'{total(c)} AS {c}' for c in COUNTED)} FROM {{merged}} GROUP BY ts",
         ),
         merged=merged,
-        arrived=arrived,
+        delays=delays,
         now=snapshot_counts(orders, as_of),
     )
 

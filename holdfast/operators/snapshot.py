@@ -7,6 +7,7 @@ before the shuffle, and nothing is collected per order.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from holdfast.plans.nested import nested
 from holdfast.functions.normalize import is_filled
@@ -21,6 +22,13 @@ _HOLD_OPS = ["hold_ops_status", "hold_ops_note", "hold_ops_operator", "hold_ops_
 _SNAPSHOT_LATEST = ["current_stage", "current_status", "last_event_type", "last_occurred_at", "hold_reason_code"]
 
 
+# Fields that stay as the order's first row had them.
+_STICKY_FIRST = [
+    *FILLED_FORWARD, "current_stage", "last_event_type", "created_at", "event_produced_at", "latency_p_to_k_sec", "latency_p_to_d_sec",
+]
+_PARTIAL_FIRST = [*FILLED_FORWARD, "last_event_type", "last_occurred_at", "created_at"]
+
+
 def _present(names: list[str], df: DataFrame) -> list[str]:
     return [n for n in names if n in df.columns]
 
@@ -29,6 +37,9 @@ def _all_filled(names: list[str]) -> str:
     return "(" + " AND ".join(is_filled(n) for n in names) + ")"
 
 
+_COMPLETE = _all_filled(REQUIRED_OWN + FILLED_FORWARD)
+
+
 def fold_latest(rows: DataFrame, hold_ops: bool = True) -> DataFrame:
     """Latest-row-wins snapshot with fill-forward and the completeness gate.
 
@@ -61,7 +72,17 @@ def rejected_rows(rows: DataFrame) -> DataFrame:
     Once an order is stored, the descriptive fields no longer count as missing. Rows
     without an order id stay out of the join, where they would all meet in one partition.
     """
-    complete = _all_filled(REQUIRED_OWN + FILLED_FORWARD)
+    starts = rows.where(_COMPLETE).groupBy("order_id").agg(F.min("seq").alias("start"))
+    return rejected_suspects(suspects(rows), starts)
+
+
+def suspects(rows: DataFrame) -> DataFrame:
+    """Rows that lack some field, and are rejected unless their order is stored and fills it."""
+    return rows.where(f"NOT {_COMPLETE}")
+
+
+def rejected_suspects(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """The rejected among suspect ``rows``; ``starts`` has each stored order's first complete row (order_id, start)."""
     cols = ", ".join(f"r.{c}" for c in rows.columns)
     absent = [f"CASE WHEN NOT {is_filled(c)} THEN '{c}' END" for c in REQUIRED_OWN]
     absent += [f"CASE WHEN NOT _stored AND NOT {is_filled(c)} THEN '{c}' END" for c in FILLED_FORWARD]
@@ -69,33 +90,29 @@ def rejected_rows(rows: DataFrame) -> DataFrame:
         nested(
             f"""
             SELECT * EXCEPT (_stored) FROM (
-              SELECT *, array_compact(array({', '.join(absent)})) AS missing FROM @suspects
+              SELECT *, array_compact(array({', '.join(absent)})) AS missing FROM @judged
             ) WHERE size(missing) > 0
             """,
-            starts=f"SELECT order_id, min(seq) AS start FROM {{rows}} WHERE {complete} GROUP BY order_id",
-            suspects=f"""
+            judged=f"""
               SELECT {cols}, coalesce(s.start < r.seq, false) AS _stored
-              FROM (SELECT * FROM {{rows}} WHERE NOT {complete} AND {is_filled('order_id')}) r
-              LEFT JOIN @starts s ON r.order_id = s.order_id
+              FROM (SELECT * FROM {{rows}} WHERE {is_filled('order_id')}) r LEFT JOIN {{starts}} s ON r.order_id = s.order_id
               UNION ALL
               SELECT {cols}, false FROM {{rows}} r WHERE NOT {is_filled('order_id')}
             """,
         ),
         rows=rows,
+        starts=starts,
     )
 
 
 def fold_sticky_hold(rows: DataFrame) -> DataFrame:
     """HOLD never leaves, the first reason is kept, the rest stays as first written."""
-    first = [
-        *FILLED_FORWARD, "current_stage", "last_event_type", "created_at", "event_produced_at", "latency_p_to_k_sec", "latency_p_to_d_sec",
-    ]
     return rows.sparkSession.sql(
         f"""
         SELECT order_id, f.*, CASE WHEN held THEN '{HOLD}' ELSE l.current_status END AS current_status, hold_reason_code, l.last_occurred_at
         FROM (
           SELECT order_id,
-            min_by(struct({', '.join(_present(first, rows))}, seq AS raw_reference), seq) AS f,
+            min_by(struct({', '.join(_present(_STICKY_FIRST, rows))}, seq AS raw_reference), seq) AS f,
             max_by(struct(current_status, last_occurred_at), seq) AS l,
             bool_or(current_status = '{HOLD}') AS held,
             min_by(hold_reason_code, CASE WHEN hold_reason_code IS NOT NULL THEN seq END) AS hold_reason_code
@@ -108,7 +125,7 @@ def fold_sticky_hold(rows: DataFrame) -> DataFrame:
 
 def fold_partial(rows: DataFrame) -> DataFrame:
     """Stage, status, reason and raw reference follow the last row; the rest the first."""
-    first = _present([*FILLED_FORWARD, "last_event_type", "last_occurred_at", "created_at"], rows)
+    first = _present(_PARTIAL_FIRST, rows)
     return rows.sparkSession.sql(
         f"""
         SELECT order_id, f.*, l.* FROM (
@@ -136,6 +153,56 @@ def fold_orders(rows: DataFrame, profile: str) -> DataFrame:
     return FOLDS[profile](rows)
 
 
+def _state(rows: DataFrame, profile: str) -> dict[str, tuple[str, str]]:
+    """What a profile's snapshot keeps of an order's rows: aggregate and value of each part.
+
+    Every part is a smallest or greatest row by arrival, or a flag, so states of disjoint sets of
+    rows merge with the same aggregates, in any order.
+    """
+    if profile in ("ingest", "paid_anomaly"):
+        latest = _present(_SNAPSHOT_LATEST + (_HOLD_OPS if profile == "ingest" else []), rows)
+        state = {f"_{c}": ("max", f"CASE WHEN {is_filled(c)} THEN struct(seq, {c} AS value) END") for c in FILLED_FORWARD}
+        state["_start"] = ("min", f"CASE WHEN {_all_filled(FILLED_FORWARD)} THEN struct(seq, ingested_at AS created_at) END")
+        state["_last"] = ("max", f"struct(seq AS raw_reference, {', '.join(latest)})")
+        return state
+    if profile == "cascade":
+        return {
+            "_first": ("min", f"struct(seq AS raw_reference, {', '.join(_present(_STICKY_FIRST, rows))})"),
+            "_last": ("max", "struct(seq, current_status, last_occurred_at)"),
+            "_held": ("bool_or", f"current_status = '{HOLD}'"),
+            "_reason": ("min", "CASE WHEN hold_reason_code IS NOT NULL THEN struct(seq, hold_reason_code) END"),
+        }
+    return {
+        "_first": ("min", f"struct(seq, {', '.join(_present(_PARTIAL_FIRST, rows))})"),
+        "_last": ("max", "struct(seq AS raw_reference, current_stage, current_status, hold_reason_code)"),
+    }
+
+
+def order_states(rows: DataFrame, profile: str) -> DataFrame:
+    """One mergeable state per order, whatever part of its rows ``rows`` holds."""
+    if profile not in FOLDS:
+        raise ValueError(f"unknown profile {profile!r}, expected one of {sorted(FOLDS)}")
+    gate = _all_filled(REQUIRED_OWN) if profile in ("ingest", "paid_anomaly") else "order_id IS NOT NULL"
+    parts = [F.expr(f"{how}({value})").alias(name) for name, (how, value) in _state(rows, profile).items()]
+    return rows.where(gate).groupBy("order_id").agg(*parts)
+
+
+def merged_states(states: DataFrame, profile: str) -> DataFrame:
+    """One state per order out of any number of them."""
+    how = lambda c: "bool_or" if c == "_held" else "min" if c in ("_start", "_first", "_reason") else "max"
+    return states.groupBy("order_id").agg(*[F.expr(f"{how(c)}({c})").alias(c) for c in states.columns if c.startswith("_")])
+
+
+def orders_of(states: DataFrame, profile: str) -> DataFrame:
+    """The snapshot of merged states, as :func:`fold_orders` gives it for all their rows."""
+    if profile in ("ingest", "paid_anomaly"):
+        return states.where("_start IS NOT NULL").selectExpr("order_id", *[f"_{c}.value AS {c}" for c in FILLED_FORWARD], "_last.*", "_start.created_at AS created_at")
+    if profile == "cascade":
+        status = f"CASE WHEN _held THEN '{HOLD}' ELSE _last.current_status END AS current_status"
+        return states.selectExpr("order_id", "_first.*", status, "_reason.hold_reason_code AS hold_reason_code", "_last.last_occurred_at AS last_occurred_at")
+    return states.selectExpr("order_id", "_first.*", "_last.*").drop("seq")
+
+
 def _replaced(df: DataFrame, new: dict[str, str], alias: str = "o") -> str:
     """The frame's columns with some of them replaced by expressions."""
     return ", ".join(f"{new[c]} AS {c}" if c in new else f"{alias}.{c}" for c in df.columns)

@@ -121,6 +121,18 @@ def ts_30d_1d(metrics: DataFrame, orders: DataFrame, as_of: datetime, tz: str |
     return ts_daily(metrics, orders, as_of, 30, tz)
 
 
+def preset_range(preset: str, as_of: datetime, tz: str | None = None) -> tuple[datetime, datetime]:
+    """[first, after) of the windows a preset shows, to read just those."""
+    if preset == "12h_30m":
+        last = floor_bucket(as_of)
+        return last - timedelta(hours=11, minutes=30), last + BUCKET
+    if preset == "24h_1h":
+        last = floor_hour(as_of)
+        return last - timedelta(hours=23), last + timedelta(hours=1)
+    today = datetime.combine(local_date(as_of, tz), datetime.min.time())
+    return today - timedelta(days=int(preset.split("d")[0]) - 1), today + timedelta(days=1)
+
+
 PRESETS = {"12h_30m": ts_12h_30m, "24h_1h": ts_24h_1h, "7d_1d": ts_7d_1d, "30d_1d": ts_30d_1d}
 
 

@@ -31,13 +31,23 @@ ord AS (
     l.event_type AS last_event_type, l.occurred_at AS last_occurred_at, l.reason_code AS hold_reason_code,
     l.ops_status AS hold_ops_status, l.ops_operator AS hold_ops_operator, f.created_at
   FROM led l JOIN (SELECT order_id, max(seq) AS seq, min(occurred_at) AS created_at FROM led GROUP BY order_id) f USING (order_id, seq)
+),
+bounds AS (
+  SELECT *, as_of - INTERVAL 350 MINUTE AS asked FROM (
+    SELECT time_bucket(INTERVAL 30 MINUTE, least(min(occurred_at), min(ingested_at))) AS first,
+      time_bucket(INTERVAL 30 MINUTE, max(ingested_at)) + INTERVAL 30 MINUTE AS as_of FROM led)
 )"""
 
-_AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
-_DAY = "TIMESTAMP '2024-01-30 18:10:00'"
+# The buckets that hold all rows, the moment the dashboards are asked at, and its bucket, hour and day.
+_FIRST = "(SELECT first FROM bounds)"
+_AS_OF = "(SELECT as_of FROM bounds)"
+_DAY = "(SELECT asked FROM bounds)"
+_BUCKET = "(SELECT time_bucket(INTERVAL 30 MINUTE, asked) FROM bounds)"
+_HOUR = "(SELECT date_trunc('hour', asked) FROM bounds)"
+_TODAY = "(SELECT CAST(date_trunc('day', asked) AS TIMESTAMP) FROM bounds)"
 
 
-def _metrics(start: str = "TIMESTAMP '2024-01-01 00:00:00'", end: str = _AS_OF, as_of: str = _AS_OF) -> str:
+def _metrics(start: str = _FIRST, end: str = _AS_OF, as_of: str = _AS_OF) -> str:
     """The metrics windows of [start, end) as a part named mw."""
     return f"""
 spine AS (SELECT unnest(generate_series({start}, {end} - INTERVAL 30 MINUTE, INTERVAL 30 MINUTE)) AS ts),
@@ -240,8 +250,8 @@ _TS_12H = f"""
 pts AS (
   SELECT t.ts, {_each('coalesce(max({c}), 0) AS {c}', _FLOWS, _INGEST, ['backlog', 'late_orders'], _EVENTS)},
     coalesce(max(delay_p95_sec), 0) AS delay_p95_sec, {_each(_SUM, _ALERTS)},
-    {_held_between("TIMESTAMP '2024-01-30 06:30:00'", "TIMESTAMP '2024-01-30 18:00:00'")} AS holds_now
-  FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-30 06:30:00', TIMESTAMP '2024-01-30 18:00:00', INTERVAL 30 MINUTE)) AS ts) t
+    {_held_between(_BUCKET + " - INTERVAL 690 MINUTE", _BUCKET)} AS holds_now
+  FROM (SELECT unnest(generate_series({_BUCKET} - INTERVAL 690 MINUTE, {_BUCKET}, INTERVAL 30 MINUTE)) AS ts) t
   LEFT JOIN mw ON mw.window_start = t.ts GROUP BY t.ts
 )"""
 
@@ -249,19 +259,20 @@ _TS_24H = f"""
 pts AS (
   SELECT t.ts, {_each(_SUM, _FLOWS, _EVENTS, _ALERTS)}, coalesce(arg_max(delay_p95_sec, window_end), 0) AS delay_p95_sec,
     coalesce(arg_max(backlog, window_end), 0) AS backlog, CASE WHEN count(mw.window_start) = 0 THEN 0 ELSE
-    {_held_between("TIMESTAMP '2024-01-29 19:00:00'", "TIMESTAMP '2024-01-30 18:00:00'")} END AS holds_now
-  FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-29 19:00:00', TIMESTAMP '2024-01-30 18:00:00', INTERVAL 1 HOUR)) AS ts) t
+    {_held_between(_HOUR + " - INTERVAL 23 HOUR", _HOUR)} END AS holds_now
+  FROM (SELECT unnest(generate_series({_HOUR} - INTERVAL 23 HOUR, {_HOUR}, INTERVAL 1 HOUR)) AS ts) t
   LEFT JOIN mw ON date_trunc('hour', mw.window_start) = t.ts GROUP BY t.ts
 )"""
 
 
-def _daily(first: str) -> str:
+def _daily(days: int) -> str:
+    first, after = f"{_TODAY} - INTERVAL {days - 1} DAY", f"{_TODAY} + INTERVAL 1 DAY"
     return f"""
 pts AS (
   SELECT CAST(date_trunc('day', window_start) AS TIMESTAMP) AS ts, {_each(_SUM, _FLOWS, _INGEST, _EVENTS, _ALERTS)},
     arg_max_null(delay_p95_sec, window_end) AS delay_p95_sec, arg_max_null(backlog, window_end) AS backlog,
-    arg_max_null(late_orders, window_end) AS late_orders, {_held_between(first, "TIMESTAMP '2024-01-31 00:00:00'")} AS holds_now
-  FROM mw WHERE window_start >= {first} AND window_start < TIMESTAMP '2024-01-31 00:00:00' GROUP BY 1
+    arg_max_null(late_orders, window_end) AS late_orders, {_held_between(first, after)} AS holds_now
+  FROM mw WHERE window_start >= {first} AND window_start < {after} GROUP BY 1
 )"""
 
 
@@ -493,30 +504,26 @@ drops AS (
         ) r ON r.ts = mw.window_start""",
         _GAPPY,
     ),
-    "rollup_gaps": _mw("SELECT * FROM mw WHERE window_start >= TIMESTAMP '2024-01-30 00:00:00'"),
-    "rollup_reroll": _base(
-        "SELECT * FROM mw", _metrics("TIMESTAMP '2024-01-30 16:00:00'", "TIMESTAMP '2024-01-30 18:00:00'", _DAY)
-    ),
-    "rollup_backfill": _base(
-        "SELECT * FROM mw", _metrics("TIMESTAMP '2024-01-23 18:00:00'", "TIMESTAMP '2024-01-30 18:00:00'", _DAY)
-    ),
+    "rollup_gaps": _mw(f"SELECT * FROM mw WHERE window_start >= {_AS_OF} - INTERVAL 1 DAY"),
+    "rollup_reroll": _base("SELECT * FROM mw", _metrics(f"{_BUCKET} - INTERVAL 2 HOUR", _BUCKET, _DAY)),
+    "rollup_backfill": _base("SELECT * FROM mw", _metrics(f"{_BUCKET} - INTERVAL 7 DAY", _BUCKET, _DAY)),
     "metrics_store": _mw(
         f"""
         SELECT * EXCLUDE (late_orders, created_at),
           CASE WHEN fresh THEN (SELECT count(*) FROM ord WHERE current_status = 'PAID' AND created_at < {_DAY} - INTERVAL 2 HOUR) ELSE late_orders END AS late_orders,
           CASE WHEN fresh THEN {_DAY} ELSE created_at END AS created_at
-        FROM (SELECT *, window_start >= TIMESTAMP '2024-01-29 00:00:00' AS fresh FROM mw)"""
+        FROM (SELECT *, window_start >= {_AS_OF} - INTERVAL 2 DAY AS fresh FROM mw)"""
     ).replace("* EXCLUDE (late_orders, created_at)", "* EXCLUDE (late_orders, created_at, fresh)"),
     "latest_window": _mw("SELECT * FROM mw ORDER BY window_end DESC LIMIT 1"),
     "max_window_end": _mw("SELECT max(window_end) AS max_end FROM mw"),
     "ts_12h_30m": _mw("SELECT * FROM pts", _TS_12H),
     "ts_24h_1h": _mw("SELECT * FROM pts", _TS_24H),
-    "ts_7d_1d": _mw("SELECT * FROM pts", _daily("TIMESTAMP '2024-01-24 00:00:00'")),
-    "ts_30d_1d": _mw("SELECT * FROM pts", _daily("TIMESTAMP '2024-01-01 00:00:00'")),
+    "ts_7d_1d": _mw("SELECT * FROM pts", _daily(7)),
+    "ts_30d_1d": _mw("SELECT * FROM pts", _daily(30)),
     "summary": _mw(
-        """
+        f"""
         SELECT count(*) FILTER (today) AS orders_today,
-          (SELECT count(*) FROM led WHERE current_status = 'SHIPPED' AND CAST(occurred_at AS DATE) = DATE '2024-01-30') AS shipped_today,
+          (SELECT count(*) FROM led WHERE current_status = 'SHIPPED' AND CAST(occurred_at AS DATE) = CAST({_TODAY} AS DATE)) AS shipped_today,
           count(*) FILTER (today AND current_status = 'PAID') AS backlog, count(*) FILTER (today AND current_status = 'HOLD') AS holds_now,
           count(*) FILTER (current_status IN ('PICKING', 'PACKED', 'SHIPPED')) AS in_progress_now,
           count(*) FILTER (current_status IN ('DELIVERED', 'CANCELED')) AS completed_now, CAST(0 AS BIGINT) AS late_shipments,
@@ -524,7 +531,7 @@ drops AS (
           any_value(w.payments) AS payments_window, any_value(w.shipped) AS shipped_window, any_value(w.holds) AS holds_window,
           any_value(w.hold_rate) AS hold_rate, any_value(w.ingest_count) AS ingest_count, any_value(w.parse_errors) AS parse_errors,
           any_value(w.schema_missing) AS schema_missing, any_value(strftime(w.created_at, '%Y-%m-%dT%H:%M:%S.%g')) AS metrics_created_at
-        FROM (SELECT *, CAST(created_at AS DATE) = DATE '2024-01-30' AS today FROM ord) o
+        FROM (SELECT *, CAST(created_at AS DATE) = CAST({_TODAY} AS DATE) AS today FROM ord) o
         CROSS JOIN (SELECT * FROM mw ORDER BY window_end DESC LIMIT 1) w"""
     ),
     "kpi_orders": _mw(
@@ -543,7 +550,7 @@ drops AS (
     ),
     "kpi_alerts": _mw(
         f"SELECT max(ts) AS updated_at, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {s}' for s, c in _COUNTERS.items())} FROM pts",
-        _daily("TIMESTAMP '2024-01-24 00:00:00'"),
+        _daily(7),
     ),
     "on_time_rate": _base(
         f"""
@@ -639,3 +646,112 @@ ORACLES["stream_intake"] = _base(
     _NORMAL,
     "arrived AS (SELECT *, row_number() OVER (ORDER BY ingested_at, \"offset\" % 4, \"offset\") AS pos FROM norm)",
 )
+ORACLES["stream_late_rows"] = ORACLES["stream_rollup"].replace("count(*) AS ingest_count", "count(*) AS event_total")
+ORACLES["stream_metrics"] = ORACLES["rollup_30m"]
+ORACLES["stream_quarantine"] = ORACLES["quarantine_orders"]
+ORACLES["stream_quarantine_ledger"] = ORACLES["quarantine_ledger"]
+ORACLES["stream_quarantine_pair"] = ORACLES["quarantine_pair"]
+ORACLES["stream_snapshot_sticky"] = ORACLES["snapshot_sticky"]
+ORACLES["stream_snapshot_partial"] = ORACLES["snapshot_partial"]
+
+# --- profiles of the continuous intake, in order of arrival ---------------------------
+
+_TAKEN = """
+taken AS (
+  SELECT n.*, coalesce(current_status, 'PAID') AS status, row_number() OVER (ORDER BY ingested_at, "offset" % 4, "offset") AS pos,
+    p.product_id IS NOT NULL AS known, p.stock
+  FROM norm n LEFT JOIN prod p ON n.product_id = p.product_id
+)"""
+
+
+def _arrival(out: str, rows: str, key: str, time: str, interval: str, limit: int) -> str:
+    """A part (pos, hit): more than ``limit`` rows of the key are kept, where each row drops older ones for good."""
+    return f"""
+{out}_n AS (SELECT {key} AS key, pos, {time} AS t, row_number() OVER (PARTITION BY {key} ORDER BY pos) AS n FROM {rows}),
+{out}_d AS (
+  SELECT a.key, a.pos, min(b.pos) AS dropped FROM {out}_n a JOIN {out}_n b ON a.key = b.key AND b.pos > a.pos AND b.t > a.t + INTERVAL {interval} GROUP BY a.key, a.pos
+),
+{out} AS (
+  SELECT r.pos, r.n - count(d.dropped) > {limit} AS hit FROM {out}_n r LEFT JOIN {out}_d d ON d.key = r.key AND d.dropped <= r.pos GROUP BY r.pos, r.n
+)"""
+
+
+ORACLES["stream_intake_cascade"] = _base(
+    """
+    SELECT c.order_id, arg_min(user_id, pos) AS user_id, arg_min(product_id, pos) AS product_id, arg_min(current_stage, pos) AS current_stage,
+      CASE WHEN bool_or(c.reason IS NOT NULL OR status = 'HOLD') OR any_value(q.q_seq) IS NOT NULL THEN 'HOLD' ELSE arg_max(status, pos) END AS current_status,
+      arg_max(created_at, pos) AS last_occurred_at, coalesce(any_value(q.q_reason), arg_min(c.reason, pos) FILTER (c.reason IS NOT NULL)) AS hold_reason_code,
+      arg_min("offset", pos) AS reference, arg_min(created_at, pos) AS created_at
+    FROM judged c LEFT JOIN q ON c.order_id = q.order_id GROUP BY c.order_id""",
+    _NORMAL,
+    _TAKEN,
+    """
+sta AS (
+  SELECT *, CASE WHEN trim(user_id) = '' OR trim(product_id) = '' OR length(trim(coalesce(shipping_address, ''))) < 5 OR NOT known THEN 'FUL-VALID'
+    WHEN stock <= 0 THEN 'FUL-INV' END AS static FROM taken
+),
+users AS (SELECT * FROM sta WHERE static IS NULL)""",
+    _arrival("bu", "users", "user_id", "created_at", "1 DAY", 5),
+    "items AS (SELECT users.* FROM users JOIN bu USING (pos) WHERE NOT hit)",
+    _arrival("bp", "items", "product_id", "created_at", "6 HOUR", 5),
+    """
+judged AS (
+  SELECT sta.*, coalesce(static, CASE WHEN bu.hit THEN 'FUL-FRAUD-USER' WHEN bp.hit THEN 'FUL-FRAUD-PROD' END) AS reason
+  FROM sta LEFT JOIN bu USING (pos) LEFT JOIN bp USING (pos)
+),
+fw AS (SELECT * FROM judged QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY pos) = 1),
+hits AS (
+  SELECT f.order_id, g.pos, g.reason FROM fw f JOIN judged g ON g.pos >= f.pos AND f.created_at >= g.created_at - INTERVAL 1 DAY
+    AND ((g.reason = 'FUL-FRAUD-USER' AND g.user_id = f.user_id) OR (g.reason = 'FUL-FRAUD-PROD' AND g.product_id = f.product_id))
+),
+q AS (SELECT order_id, max(pos) AS q_seq, arg_max(reason, pos) AS q_reason FROM hits GROUP BY order_id)""",
+)
+ORACLES["stream_intake_paid"] = _base(
+    """
+    SELECT j.order_id, arg_max(user_id, pos) AS user_id, arg_max(product_id, pos) AS product_id, arg_max(current_stage, pos) AS current_stage,
+      arg_max(CASE WHEN reason IS NOT NULL THEN 'HOLD' ELSE coalesce(current_status, 'UNKNOWN') END, pos) AS current_status,
+      arg_max(occurred_at, pos) AS last_occurred_at, arg_max_null(reason, pos) AS hold_reason_code, arg_max("offset", pos) AS reference,
+      arg_min(ingested_at, pos) AS created_at
+    FROM judged j JOIN (SELECT order_id, min(pos) AS start FROM judged WHERE shipping_address IS NOT NULL GROUP BY order_id) s
+      ON j.order_id = s.order_id AND j.pos >= s.start GROUP BY j.order_id""",
+    _NORMAL,
+    _TAKEN,
+    "paid AS (SELECT * FROM taken WHERE current_status = 'PAID')",
+    _arrival("bp", "paid", "product_id", "occurred_at", "2 DAY", 3),
+    """
+judged AS (
+  SELECT taken.*, CASE WHEN current_status = 'PAID' AND (NOT known OR stock <= 0) THEN 'FUL-INV' WHEN bp.hit THEN 'FUL-FRAUD-PROD' END AS reason
+  FROM taken LEFT JOIN bp USING (pos)
+)""",
+)
+ORACLES["stream_intake_anchored"] = _base(
+    """
+    SELECT l.order_id, f.user_id, f.product_id, l.current_stage, CASE WHEN hit THEN 'HOLD' ELSE l.now END AS current_status,
+      f.created_at AS last_occurred_at, CASE WHEN hit THEN 'FUL-FRAUD-USER' ELSE l.reason END AS hold_reason_code, l."offset" AS reference, f.created_at
+    FROM (
+      SELECT l.*, now <> 'HOLD' AND EXISTS (
+        SELECT 1 FROM judged g JOIN fw f ON g.user_id = f.user_id AND g.product_id = f.product_id AND f.created_at >= g.created_at - INTERVAL 1 DAY
+        WHERE f.order_id = l.order_id AND g.reason = 'FUL-FRAUD-USER' AND g.pos > l.pos) AS hit
+      FROM (SELECT * FROM judged QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY pos DESC) = 1) l
+    ) l JOIN fw f ON l.order_id = f.order_id""",
+    _NORMAL,
+    _TAKEN,
+    f"""
+pairs AS (
+  SELECT t.* REPLACE (CAST(CAST(t.product_id AS INTEGER) % 5 AS VARCHAR) AS product_id), {_BAD.replace("length(shipping_address)", "length(coalesce(shipping_address, ''))")} AS static FROM taken t
+),
+open_n AS (SELECT *, row_number() OVER (PARTITION BY user_id, product_id ORDER BY pos) AS n FROM pairs WHERE static IS NULL),
+walk AS (
+  SELECT user_id, product_id, pos, n, created_at AS anchor, 1 AS seen FROM open_n WHERE n = 1
+  UNION ALL
+  SELECT x.user_id, x.product_id, x.pos, x.n, CASE WHEN x.created_at > w.anchor + INTERVAL 10 DAY THEN x.created_at ELSE w.anchor END,
+    CASE WHEN x.created_at > w.anchor + INTERVAL 10 DAY THEN 1 ELSE w.seen + 1 END
+  FROM walk w JOIN open_n x ON x.user_id = w.user_id AND x.product_id = w.product_id AND x.n = w.n + 1
+),
+judged AS (
+  SELECT p.*, coalesce(static, CASE WHEN w.seen > 3 THEN 'FUL-FRAUD-USER' END) AS reason,
+    CASE WHEN static IS NOT NULL OR w.seen > 3 THEN 'HOLD' ELSE status END AS now
+  FROM pairs p LEFT JOIN walk w USING (pos)
+),
+fw AS (SELECT * FROM judged QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY pos) = 1)""",
+)

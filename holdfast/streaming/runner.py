@@ -20,12 +20,23 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = N
     try:
         found = spark.read.parquet(path)
     except Exception as e:  # the analysis error class differs between session kinds
-        if schema is None or "PATH_NOT_FOUND" not in str(e):
+        # partitioned folders of empty batches hold no file
+        if schema is None or not any(kind in str(e) for kind in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
             raise
         return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType())]))
     return found if before is None else found.where(f"{BATCH} < {before}")
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """What one batch wrote; empty when it wrote nothing there."""
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
+    except Exception as e:  # the analysis error class differs between session kinds
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def run_available(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Processes all input there is, batch by batch, and stops.
 

@@ -9,12 +9,14 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from holdfast.operators import rules, snapshot
+from holdfast.operators import intake, quarantine, rules, snapshot
 from holdfast.operators.rules import Burst
-from holdfast.session import scratch_path
-from holdfast.sources.messages import ENVELOPE, read_messages
+from holdfast.session import scratch_path, staged
+from holdfast.sources.messages import ENVELOPE, decode_messages, read_messages, split_bad
+from holdfast.sources.tables import first_arrivals
 from holdfast.streaming import intake as streamed
 from holdfast.streaming import keyed, runner, windows
+from holdfast.streaming.carried import carried
 
 from test_intake import envelopes, message
 
@@ -110,10 +112,10 @@ def test_intake_in_batches_equals_one_batch(spark, texts):
     out = scratch_path(spark, "tables")
     messages = read_messages(spark, "parquet", {"path": source, "maxFilesPerTrigger": "1"})
     streamed.run_intake(messages, None, "ingest", out, f"{out}-checkpoint")
-    tables = streamed.read_intake(spark, out)
+    tables = streamed.read_intake(spark, out, "ingest")
     whole = scratch_path(spark, "whole")
     streamed.intake_batch(all_rows, 0, None, "ingest", whole)
-    once = streamed.read_intake(spark, whole)
+    once = streamed.read_intake(spark, whole, "ingest")
     shown = ["order_id", "user_id", "shipping_address", "current_status", "last_event_type", "hold_reason_code", "raw_reference", "created_at"]
     rows_of = lambda t, cols: sorted(map(repr, t.select(*cols).collect()))
     assert rows_of(tables["orders"], shown) == rows_of(once["orders"], shown)
@@ -124,7 +126,7 @@ def test_intake_in_batches_equals_one_batch(spark, texts):
     last = max(r.batch_id for r in tables["ledger"].select("batch_id").distinct().collect())
     replay = spark.createDataFrame(rows[16 * last:16 * last + 16], ENVELOPE)
     streamed.intake_batch(replay, last, None, "ingest", out)
-    again = streamed.read_intake(spark, out)
+    again = streamed.read_intake(spark, out, "ingest")
     assert rows_of(again["orders"], shown) == before and again["raw"].count() == 60
 
 
@@ -136,11 +138,11 @@ def test_intake_with_products_runs_as_a_stream(spark, texts, profile):
     spark.createDataFrame([("P1", "book", 5)], "product_id string, product_name string, stock int").write.parquet(path)
     messages = read_messages(spark, "parquet", {"path": source})
     streamed.run_intake(messages, lambda session: session.read.parquet(path), profile, out, f"{out}-checkpoint")
-    tables = streamed.read_intake(spark, out)
+    tables = streamed.read_intake(spark, out, profile)
     assert tables["raw"].count() == 60 and tables["orders"].count() > 0
     again = scratch_path(spark, "tables")
     streamed.run_intake(messages, spark.read.parquet(path), profile, again, f"{again}-checkpoint")
-    assert streamed.read_intake(spark, again)["ledger"].count() == tables["ledger"].count()
+    assert streamed.read_intake(spark, again, profile)["ledger"].count() == tables["ledger"].count()
 
 
 @pytest.mark.parametrize("profile", ["anchored", "cascade", "paid_anomaly"])
@@ -160,13 +162,109 @@ def test_bursts_of_the_intake_cross_batches(spark, profile):
         for b in range(batches):
             part = spark.createDataFrame(rows[b * size:(b + 1) * size], ENVELOPE)
             streamed.intake_batch(part, b, lambda s: s.read.parquet(path), profile, out)
-        ledger = streamed.read_intake(spark, out)["ledger"]
+        ledger = streamed.read_intake(spark, out, profile)["ledger"]
         got[batches] = {r.order_id: r.reason_code for r in ledger.collect()}
     times = {f"o{i}": at[i] for i in range(40)}
     want = {"anchored": _anchored_loop, "cascade": _cascade_loop, "paid_anomaly": _paid_loop}[profile]([(o, times[o]) for o in order])
     assert got[1] == got[4] == want and len(set(want.values())) > 1
 
 
+@pytest.mark.parametrize(
+    ("profile", "batches"),
+    [("ingest", 2), ("paid_anomaly", 2), ("cascade", 1), ("cascade", 10), ("anchored", 2)],
+)
+def test_any_number_of_batches_equals_one_pass(spark, profile, batches):
+    """Orders, ledger and rejects of the intake, quarantine across batches included, are those of the whole topic."""
+    rng = random.Random(17)
+    texts = []
+    for i in range(120):
+        at = (T0 + timedelta(milliseconds=rng.randrange(150_000))).isoformat() + "Z"
+        gaps = rng.choice([{}, {}, {}, {"user_id": ""}, {"product_name": ""}, {"current_stage": "-"}])
+        given = {"event_id": f"given{rng.randrange(20)}"} if i % 11 == 0 else {}
+        status = rng.choice(["PAID", "PAID", "PICKING", "HOLD"])
+        names = {"order_id": f"o{rng.randrange(70)}", "user_id": f"u{rng.randrange(3)}", "product_id": f"P{rng.randrange(2)}"}
+        texts.append(message(**(names | {"created_at": at, "last_occurred_at": at, "current_status": status} | gaps | given)))
+    texts[40] = texts[3]
+    rows = envelopes(spark, texts).orderBy("ingested_at", "partition", "offset").collect()
+    products = spark.createDataFrame([("P0", "a", 9), ("P1", "b", 9)], "product_id string, product_name string, stock int")
+    # more than three rows of a user within 30 s, of a product within 4 s; orders of the last 20 s are held as well
+    user, item, pair = Burst(30.0, 3), Burst(4.0, 3), Burst(30.0, 3)
+    limits = {"ingest": {}, "cascade": {"user_burst": user, "product_burst": item}, "paid_anomaly": {"burst": item}, "anchored": {"burst": pair}}[profile]
+    out, size = scratch_path(spark, "tables"), 120 // batches
+    for b in range(batches):
+        part = spark.createDataFrame(rows[b * size:(b + 1) * size], ENVELOPE)
+        streamed.intake_batch(part, b, products, profile, out, 20.0, **limits)
+    tables = streamed.read_intake(spark, out, profile)
+
+    good, _ = split_bad(decode_messages(spark.createDataFrame(rows, ENVELOPE)))
+    normal = intake.normalize(good)
+    if profile != "ingest":
+        # the bursts in arrival order, by the operators over all rows; the anchored one is walked in one batch
+        limits |= {"flag": carried(scratch_path(spark, "bursts"), 0, True)} if profile == "anchored" else {"mode": rules.ARRIVAL}
+    classified = staged(intake.with_event_id(intake.classify(normal, products, profile, **limits), profile), "classified")
+    writes = intake.snapshot_input(classified, profile)
+    want = snapshot.fold_orders(writes, profile)
+    entries = first_arrivals(intake.ledger_input(classified, profile)).withColumnRenamed("reason_code", "reason")
+    shown = ["order_id", "user_id", "product_id", "current_stage", "raw_reference", "last_occurred_at", "created_at"]
+    if profile in ("cascade", "anchored"):
+        held = quarantine.quarantine_orders(classified, 20.0) if profile == "cascade" else quarantine.quarantine_pair(classified, 20.0)
+        own = want.select("order_id", "current_status", "hold_reason_code")
+        assert held.exceptAll(own).count() > 0, "some orders are held by others"
+        want = want.drop("current_status", "hold_reason_code").join(held, "order_id")
+    if profile == "cascade":
+        entries = quarantine.quarantine_ledger(entries, quarantine.quarantine_cascade(classified, 20.0))
+    rows_of = lambda df: sorted(map(repr, df.collect()))
+    columns = [*shown, "current_status", "hold_reason_code"]
+    assert rows_of(tables["orders"].select(*columns)) == rows_of(want.select(*columns))
+    of_ledger = ["event_id", "order_id", "event_type", "current_status", "occurred_at"]
+    assert rows_of(tables["ledger"].selectExpr(*of_ledger, "reason_code AS reason")) == rows_of(entries.select(*of_ledger, "reason"))
+    if profile in ("ingest", "paid_anomaly"):
+        assert rows_of(tables["rejects"].select("seq", "missing")) == rows_of(snapshot.rejected_rows(writes).select("seq", "missing"))
+
+
+def test_ledger_lookup_reads_the_days_of_the_batch(spark):
+    """Twenty daily batches: what a batch reads of the stored ledger stays the same."""
+    out, read = scratch_path(spark, "tables"), []
+    for day in range(20):
+        at = [(T0 + timedelta(days=day, seconds=i)).isoformat() + "Z" for i in range(10)]
+        texts = [message(order_id=f"o{i}", last_occurred_at=t, created_at=t) for i, t in enumerate(at)]
+        old = (T0 + timedelta(days=day - 1)).isoformat() + "Z"
+        late = [message(order_id="o0", last_occurred_at=old, created_at=old)] if day else []  # stored the day before
+        rows = _rows(spark, envelopes(spark, texts + late))
+        entries = staged(first_arrivals(intake.ledger_input(rows, "ingest", *streamed._parts("ingest"))), "entries")
+        read.append(streamed.stored_ledger(spark, out, entries, day).count())
+        streamed.append_entries(entries, day, out)
+    assert read == [0] + [10] * 19
+    assert runner.read_batches(spark, f"{out}/ledger").count() == 200
+
+
+def _rows(spark, batch):
+    good, _ = split_bad(decode_messages(batch))
+    return intake.with_event_id(intake.classify(intake.normalize(good), None, "ingest"), "ingest")
+
+
+@pytest.mark.parametrize("profile", intake.PROFILES)
+def test_order_states_merge_in_any_order(spark, profile):
+    rng = random.Random(6)
+    maybe = lambda v: rng.choice([v, v, v, None, ""])
+    rows = [
+        (i, f"o{rng.randrange(25)}", maybe(f"u{i}"), maybe(f"p{i}"), maybe("n"), maybe("a"), maybe("S"), rng.choice(["PAID", "HOLD"]), f"t{i}", T0, rng.choice([None, f"R{i}"]),
+         T0 + timedelta(seconds=i), T0 + timedelta(seconds=rng.randrange(900)))
+        for i in range(300)
+    ]
+    schema = "seq bigint, order_id string, user_id string, product_id string, product_name string, shipping_address string, current_stage string, current_status string, " \
+        "last_event_type string, last_occurred_at timestamp_ntz, hold_reason_code string, ingested_at timestamp_ntz, created_at timestamp_ntz"
+    rng.shuffle(rows)
+    out = scratch_path(spark, "states")
+    for b in range(7):
+        runner.write_batch(snapshot.order_states(spark.createDataFrame(rows[b::7], schema), profile), b, out)
+    got = streamed.read_snapshots(spark, out, profile)
+    want = snapshot.fold_orders(spark.createDataFrame(rows, schema), profile)
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    assert sorted(map(repr, got.select(*columns).collect())) == sorted(map(repr, want.select(*columns).collect()))
+
+
 def _over(kept: list, t: datetime, burst: Burst) -> bool:
     kept[:] = [k for k in kept if k >= t - timedelta(seconds=burst.seconds)] + [t]
     return len(kept) > burst.limit
