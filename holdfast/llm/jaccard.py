@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import SPACED, Texts, lists, mix, text_chunks, words_of
-from holdfast.llm.links import components, few
+from holdfast.llm.links import components, few, light
 from holdfast.session import staged
 
 WORDS = 5  # of a shingle
@@ -222,7 +222,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """(a, b, differ, linked) of pairs of documents, decided on their whole shingle sets."""
-    ids = staged(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+    n = pairs.count()
+    ids = staged(light(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), n), "ids")
     texts = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(few(ids), "id", "left_semi")
     left, right = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
 
@@ -236,7 +237,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str) -> D
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(differ), pa.array(linked)], names=["a", "b", "differ", "linked"])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a long, b long, differ long, linked boolean").groupBy("a", "b").agg(F.min("differ").alias("differ"), F.max("linked").alias("linked"))
+    judged = joined.mapInArrow(run, "a long, b long, differ long, linked boolean").groupBy("a", "b")
+    return light(judged.agg(F.min("differ").alias("differ"), F.max("linked").alias("linked")), n)
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,13 +302,15 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     """
     sets = staged(described(docs, id_column, text).withColumn("id", F.col("id").cast("long")), "sets")
     distinct = sets.where("n_shingles > 0").groupBy("key", "also").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
-    distinct = staged(distinct.where("id IS NOT NULL"), "distinct")
+    documents = sets.count()
+    distinct = staged(light(distinct.where("id IS NOT NULL"), documents), "distinct")
     rows = sets.select(F.explode("signatures").alias("signature"), "key").repartition("signature").sortWithinPartitions("signature", "key")
     runs = staged(rows.mapInArrow(_runs, "signature long, key long, place long"), "runs")
     # the head of a run is the set that shares most signatures
     shared = runs.groupBy("key").agg(F.count("*").alias("shared"))
     heads = runs.join(shared, "key").groupBy("signature").agg(F.max(F.struct("shared", "key"))["key"].alias("first"))
-    runs = staged(runs.join(heads, "signature"), "led")
+    members_of_runs = runs.count()
+    runs = staged(light(runs.join(heads, "signature"), members_of_runs), "led")
 
     known = distinct.select("key", "id", "n_shingles", "sketch")
     side = lambda x: known.toDF(f"key_{x}", x, f"n_{x}", f"sketch_{x}")
@@ -321,7 +325,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     while True:
         linked = components(answers.where("linked").select("a", "b"))
         at = known.drop("sketch").join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        at = staged(at, "members")
+        at = staged(light(at, documents), "members")
         if not more:
             break
         # By the triangle inequality a set x that is not linked to the head f is not linked to a set y that is if
@@ -329,15 +333,17 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
         near = runs.join(at.select("key", "id", "n_shingles", "component"), "key").join(from_first, ["first", "key"], "left")
         direct = "(key = first OR coalesce(direct, false))"
         near = near.selectExpr("signature", "key", "place", "id", "component", f"{direct} AS direct", f"{P} * coalesce(apart, 0) + CASE WHEN {direct} THEN {Q} ELSE -{Q} END * n_shingles AS reach")
-        near = staged(near, "near")
+        near = staged(light(near, members_of_runs), "near")
         asked = near.groupBy("signature").agg(F.expr("min(CASE WHEN NOT direct THEN reach END) AS least"), F.expr("max(CASE WHEN direct THEN reach END) AS most"), F.expr("count_if(NOT direct) AS others"))
         asked = asked.where("others > 0").withColumnRenamed("signature", "of")
         may_link = F.expr("CASE WHEN direct THEN reach >= least ELSE reach <= most OR others > 1 END")
-        kept = staged(near.join(asked, (F.col("signature") == F.col("of")) & may_link).select("signature", "key", "place", "component"), "kept")
+        kept = near.join(asked, (F.col("signature") == F.col("of")) & may_link).select("signature", "key", "place", "component")
+        kept = staged(light(kept, members_of_runs), "kept")
         # runs of the same sets are one
         same = [F.min("component").alias("x"), F.max("component").alias("y"), F.max("place").alias("last"), F.expr("bit_xor(xxhash64(key))").alias("who")]
         open_runs = kept.groupBy("signature").agg(*same).where("x <> y").groupBy("who", "last").agg(F.min("signature").alias("signature"))
-        open_runs = staged(open_runs.select("signature", F.floor(F.col("last") / BLOCK).cast("long").alias("blocks")), "open")
+        open_runs = open_runs.select("signature", F.floor(F.col("last") / BLOCK).cast("long").alias("blocks"))
+        open_runs = staged(light(open_runs, members_of_runs), "open")
         denied = answers.where("NOT linked").groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("denied"))
         members = kept.join(open_runs, "signature").select("signature", "key", F.floor(F.col("place") / BLOCK).cast("long").alias("block"), "blocks")
         members = members.join(at, "key").join(known.select("key", "sketch"), "key").join(denied, "id", "left").select("signature", "block", "blocks", "id", "component", "n_shingles", "sketch", "denied")
@@ -352,7 +358,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
         if more:
             # links only merge components: another round is for runs with two that gave out some of their pairs, none linked
             unsettled = fresh.where("more").join(answers, ["a", "b"]).groupBy("signature", "x", "y").agg(F.max("linked").alias("linked"))
-            again = staged(unsettled.where("NOT linked").select("signature").distinct(), "again")
+            again = staged(light(unsettled.where("NOT linked").select("signature").distinct(), n), "again")
             more = bool(again.take(1))
             runs = runs.join(few(again), "signature", "left_semi")
     of_set = distinct.join(at.select("key", "id", "component"), ["key", "id"]).groupBy("key", "also").agg(F.min("component").alias("component"))
@@ -366,5 +372,5 @@ def representatives(docs: DataFrame) -> DataFrame:
     Documents without id or without words are kept.
     """
     judged = staged(jaccard_components(docs), "groups")
-    dropped = staged(judged.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
+    dropped = staged(light(judged.where("doc_id <> component_id").select("doc_id").distinct(), judged.count()), "dropped")
     return docs.join(few(dropped), "doc_id", "left_anti").select(docs.columns)
