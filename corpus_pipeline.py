@@ -6,24 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm import contamination, jaccard, mixing, quality, secret_scan
-from holdfast.llm.common import table
+from holdfast.llm.common import small_batches, table
 from holdfast.llm.links import few
 from holdfast.session import staged
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
+    small_batches(spark)
     model = quality.fit(staged(quality.with_statistics(docs), "described"), table(spark, sf_dir, "labels"))
     return quality.accepted(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones."""
+    small_batches(spark)
     return jaccard.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without verbatim benchmark passages."""
+    small_batches(spark)
     return contamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -33,6 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts go to Python in batches of at most so many rows from now on, which bounds what both sides hold."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def release(spark: SparkSession, *done: DataFrame) -> None:
     """Gives disk back: deletes staged frames that nothing reads any more, and lets Spark delete the shuffle files of
     finished jobs now; it does so when the driver's JVM collects their plans."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import _LOWER, Texts, mix, prefix_hashes, release, span_hashes, text_chunks
+from holdfast.llm.common import _LOWER, Texts, mix, prefix_hashes, release, small_batches, span_hashes, text_chunks
 from holdfast.session import staged
 
 TOP = 2000  # phrases reported per language
@@ -276,6 +276,7 @@ def phrase_counts(docs: DataFrame, settings: Settings = DEFAULT) -> tuple[DataFr
     """(words, phrases): every word of each language with its count, and (lang, phrase, words, f) of the phrases of two to
     four words with `least` occurrences or more."""
     spark = docs.sparkSession
+    small_batches(spark)
     said = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     counted = said.mapInArrow(_words(settings), "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
     words = staged(counted.mapInArrow(_named_words, "lang string, word string, f long, name long"), "words")
