@@ -40,6 +40,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def short_shuffles(spark: SparkSession) -> None:
+    """From now on Spark deletes the shuffle files of an action when it ends; lost ones are made again from staged frames."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def release(spark: SparkSession, *done: DataFrame) -> None:
     """Gives disk back: deletes staged frames that nothing reads any more, and lets Spark delete the shuffle files of
     finished jobs now; it does so when the driver's JVM collects their plans."""

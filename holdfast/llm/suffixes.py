@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import Texts, prefix_hashes, release, span_hashes, text_chunks
+from holdfast.llm.common import Texts, prefix_hashes, release, short_shuffles, span_hashes, text_chunks
 from holdfast.llm.links import few
 from holdfast.session import staged
 
@@ -244,10 +244,8 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     `docs` has doc (integer, not null) and text; texts that others repeat whole should not be in it.
     """
     spark = docs.sparkSession
-    release(spark)
     rows = docs.mapInArrow(_grams, "gram long, doc long, start long").repartition("gram").sortWithinPartitions("gram", "doc")
     shared = staged(rows.mapInArrow(_shared, "gram long, doc long, start long"), "shared")
-    release(spark)
     crowds = staged(shared.groupBy("gram").count().where(f"count >= {CROWD}").select("gram", F.lit(True).alias("crowded")), "crowds")
     marked = shared.join(few(crowds), "gram", "left").groupBy("doc")
     starts = marked.agg(F.expr("collect_list(CASE WHEN crowded IS NULL THEN start END)").alias("starts"), F.expr("collect_list(CASE WHEN crowded THEN start END)").alias("crowded"))
@@ -266,6 +264,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Null texts are empty; a document without id keeps everything and takes from none. A text that a smaller
     document has whole goes altogether if it has LENGTH bytes; only first holders are searched.
     """
+    short_shuffles(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     digests = staged(named.where("doc_id IS NOT NULL").select("doc_id", F.md5("text").alias("digest"), F.octet_length("text").alias("n")), "digests")
     holders = digests.where(f"n >= {LENGTH}").groupBy("digest").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last")).where("holder < last")
@@ -274,7 +273,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     found = repeated_starts(searched.withColumnRenamed("doc_id", "doc"))
     runs = found.groupBy("doc").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
     runs = staged(runs.withColumnRenamed("doc", "doc_id"), "repeats")
-    release(docs.sparkSession)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     hit = named.join(few(runs.select("doc_id")), "doc_id", "left_semi").join(runs, "doc_id").select("doc_id", "text", "lows", "highs")
     plain = named.join(few(runs.select("doc_id")), "doc_id", "left_anti").join(few(copies), "doc_id", "left")
