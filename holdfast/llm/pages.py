@@ -16,6 +16,8 @@ import html
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,8 +43,10 @@ CLOSES = {
 }
 BOUNDARY = _words("ul ol dl table select")
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.S)
+OTHER_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?", re.S)
+NAME_END = re.compile(r"[\s/>]")
+ATTRIBUTE = re.compile(r"(?<![^\s=/\"'>])([^\s=/\"'>]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.S)
+LONG_NUMBER = re.compile(r"&#([0-9]{8,});?")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -60,12 +64,62 @@ class Tree:
     nodes: list[Node] = field(default_factory=list)
 
 
+def _unescape(text: str) -> str:
+    """Character references decoded; decimal ones of any length, of which the standard library takes 4,300 digits."""
+
+    def short(m: re.Match) -> str:
+        digits = m[1].lstrip("0") or "0"
+        return f"&#{digits};" if len(digits) < 8 else "\N{REPLACEMENT CHARACTER}"
+
+    return html.unescape(LONG_NUMBER.sub(short, text))
+
+
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of `>` and quotes, and for each the `>` that ends a tag whose attributes go on from there, -1 if none does."""
+    marks = [m.start() for m in re.finditer("[>\"']", page)]
+    ends = [-1] * (len(marks) + 1)
+    following = {}  # quote -> the next mark of that kind
+    for k in range(len(marks) - 1, -1, -1):
+        mark = page[marks[k]]
+        if mark == ">":
+            ends[k] = marks[k]
+        else:
+            ends[k] = ends[following[mark] + 1] if mark in following else -1
+            following[mark] = k
+    return marks, ends
+
+
+def _tokens(page: str) -> Iterator[tuple[int, int, str, str] | None]:
+    """Tags as (start, end, name, attributes), names of end tags with the slash; comments and declarations have no name.
+    Every character is looked at a bounded number of times. A sent place is where to go on."""
+    marks, ends = _tag_ends(page)
+    at, name_end = 0, -1
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        if page.startswith(("!", "?"), at):
+            at = OTHER_TOKEN.match(page, start).end()
+            yield start, at, "", ""
+            continue
+        slash = page.startswith("/", at)
+        name = at + slash
+        if not (page[name : name + 1].isascii() and page[name : name + 1].isalpha()):
+            continue
+        if name_end < name:
+            found = NAME_END.search(page, name)
+            name_end = found.start() if found else len(page)
+        end = ends[bisect_left(marks, name_end)]
+        if end < 0:
+            continue
+        at = end + 1
+        at = (yield start, at, page[start + 1 : name_end].lower(), page[name_end:end]) or at
+
+
 def _name_tokens(attributes: str) -> tuple[list[str], str | None]:
     tokens, label = [], None
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id", "role", "itemprop", "aria-label"):
-            tokens += [f"name={p.lower().rstrip('s')}" for p in NAME_PART.findall(html.unescape(value))]
+            tokens += [f"name={p.lower().rstrip('s')}" for p in NAME_PART.findall(_unescape(value))]
         elif name == "data-label":
             label = value
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)|display:\s*none", attributes):
@@ -80,6 +134,8 @@ def parse(page: str) -> Tree:
     nodes = tree.nodes
     nodes.append(Node(-1, "#root", []))
     stack = [(0, "#root")]
+    opened: dict[str, list[int]] = defaultdict(list)  # tag -> its depths on the stack
+    bounds = [0]  # depths of the boundaries
     parts: list[str] = []
     linked = 0
     links = 0
@@ -89,68 +145,82 @@ def parse(page: str) -> Tree:
     def flush() -> None:
         nonlocal parts, linked, links
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join(_unescape("".join(parts)).split())
             if text:
                 nodes.append(Node(stack[-1][0], "#text", _shape(text, linked, links, stack[-1][1]), text))
         parts, linked, links = [], 0, 0
 
+    def read(raw: str) -> None:
+        nonlocal linked
+        if raw and not unseen:
+            parts.append(raw)
+            if link_depth:
+                linked += len(raw)
+
     def pop() -> None:
         nonlocal unseen
-        if stack.pop()[1] in UNSEEN:
+        tag = stack.pop()[1]
+        opened[tag].pop()
+        if tag in UNSEEN:
             unseen -= 1
+        if tag in BOUNDARY:
+            bounds.pop()
 
     at = 0
-    while at < len(page):
-        m = TOKEN.search(page, at)
-        raw = page[at : m.start()] if m else page[at:]
-        if raw and not unseen:
-            parts.append(raw)
-            if link_depth:
-                linked += len(raw)
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag, closing, attributes = m[2].lower(), bool(m[1]), m[3] or ""
+    tokens = _tokens(page)
+    token = next(tokens, None)
+    while token:
+        start, end, tag, attributes = token
+        read(page[at:start])
+        at = end
+        closing = tag.startswith("/")
+        tag = tag[closing:]
+        goto = None
         if tag in INLINE:
             if tag == "a":
                 link_depth = 0 if closing else 1
                 links += not closing
             if tag == "br":
                 parts.append(" ")
-            continue
-        flush()
-        link_depth = 0
-        if closing:
-            if any(t == tag for _, t in stack[1:]):
-                while stack[-1][1] != tag:
+        elif closing:
+            flush()
+            link_depth = 0
+            if opened[tag]:
+                depth = opened[tag][-1]
+                while len(stack) > depth:
                     pop()
+        elif tag:
+            flush()
+            link_depth = 0
+            while len(stack) > 1 and stack[-1][1] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
                 pop()
-            continue
-        while len(stack) > 1 and stack[-1][1] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-            pop()
-        shut = CLOSES.get(tag, ())
-        if shut:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][1] in BOUNDARY:
-                    break
-                if stack[depth][1] in shut:
-                    while len(stack) > depth:
-                        pop()
-        tokens, label = _name_tokens(attributes) if attributes else ([], None)
-        nodes.append(Node(stack[-1][0], tag, [f"tag={tag}", *tokens], label=label))
-        if tag in VOID or attributes.rstrip().endswith("/") and tag not in RAW:
-            continue
-        stack.append((len(nodes) - 1, tag))
-        unseen += tag in UNSEEN
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
-            at = end.start() if end else len(page)
+            shut = [opened[t][k] for t in CLOSES.get(tag, ()) if (k := bisect_right(opened[t], bounds[-1])) < len(opened[t])]
+            while shut and len(stack) > min(shut):
+                pop()
+            names, label = _name_tokens(attributes) if attributes else ([], None)
+            nodes.append(Node(stack[-1][0], tag, [f"tag={tag}", *names], label=label))
+            if not (tag in VOID or attributes.rstrip().endswith("/") and tag not in RAW):
+                opened[tag].append(len(stack))
+                if tag in BOUNDARY:
+                    bounds.append(len(stack))
+                stack.append((len(nodes) - 1, tag))
+                unseen += tag in UNSEEN
+                if tag in RAW:
+                    last = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+                    goto = at = last.start() if last else len(page)
+        token = _next(tokens, goto)
+    read(page[at:])
     flush()
     return tree
 
 
+def _next(tokens: Iterator, goto: int | None):
+    try:
+        return tokens.send(goto)
+    except StopIteration:
+        return None
+
+
 def _shape(text: str, linked: int, links: int, tag: str) -> list[str]:
     n = text.count(" ") + 1
     share = min(1.0, linked / max(1, len(text)))

@@ -23,8 +23,10 @@ from holdfast.llm.common import SPACED_WORD
 from holdfast.llm.links import few
 from holdfast.session import staged
 
-CANDIDATE = r"(?=[A-Za-z_+/.-]*[0-9])[A-Za-z0-9_+/.-]{16,}={0,2}"
+# Tried at the start of a run only, without ways back: every character is looked at twice at most.
+CANDIDATE = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]*+[0-9])[A-Za-z0-9_+/.-]{16,}+={0,2}"
 AROUND = 3  # words looked at on either side
+NEAR = 200  # characters looked at of each of them, and of what stands before a value in its own word
 TREES, DEPTH, SEED = 40, 8, 8
 ACCEPT = 0.5
 LABELLED = 1600  # findings built by rule; the bound of the training sample
@@ -42,7 +44,12 @@ _OPEN, _CLOSE = "\x01", "\x02"
 _FRESH = rf"(?!{re.escape(MASK)}(?![A-Za-z0-9]))"
 _BARE = r"(?:(?![,;&][\w.-]+[=:]|[.,;:)\]}]{1,4}(?:[\s\"'`<>]|$))[^\s\"'`<>\x00-\x1F]){6,}+"
 ASSIGNED = rf"((?i:{CREDENTIAL})[\w.-]{{0,40}}[\"'\]]*[ \t]*[=:]{{1,3}}>?[ \t]*[\"'`]?){_FRESH}((?<=\")[^\"\x00-\x1F]{{6,}}(?=\")|(?<=')[^'\x00-\x1F]{{6,}}(?=')|{_BARE})"
-LOGIN = rf"((?:(?<![\w.%+-])[\w.%+-]{{1,64}}|(?<=//)):){_FRESH}([^\s/\"'<>\x00-\x1F]{{6,}})(?=@[A-Za-z0-9\[])"
+# What a run of login characters has before its last @ with a host is put between marks first; the value then
+# reaches from the first user to that end, and no character is looked at from many starts.
+_HEAD, _END = "\x04", "\x05"
+_RUN = r"[^\s/\"'<>\x00-\x1F]"
+HOSTED = rf"(?<!{_RUN})({_RUN}*)(?=@[A-Za-z0-9\[])"
+LOGIN = rf"{_HEAD}({_RUN}*?(?:(?<![\w.%+-])[\w.%+-]{{1,64}}|(?<=//{_HEAD})):){_FRESH}({_RUN}{{6,}}+){_END}"
 
 
 def labelled(spark: SparkSession, n: int = LABELLED, seed: int = SEED) -> DataFrame:
@@ -117,37 +124,54 @@ def candidates(rows: DataFrame, keys: list[str]) -> DataFrame:
     """`keys`, path, place (number of the word the value starts in), value, before, after: every candidate of every text."""
     words = rows.where(F.col("text").rlike(CANDIDATE)).select(*keys, "path", F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)).alias("w"))
     places = F.expr(f"filter(sequence(0, size(w) - 1), i -> w[i] rlike '{CANDIDATE}')")
-    near = F.transform(places, lambda i: F.struct(i.alias("place"), *_around(i)))
+    near = F.transform(places, lambda i: F.struct(i.alias("place"), _values(F.get(F.col("w"), i)).alias("values"), *_around(i)))
     found = words.select(*keys, "path", F.explode(near).alias("c"))
-    found = found.select(*keys, "path", "c.place", "c.word", "c.before", "c.after", F.explode(F.regexp_extract_all("c.word", F.lit(CANDIDATE), F.lit(0))).alias("value"))
-    lead = F.expr("substring_index(word, value, 1)")
-    found = found.withColumn("before", F.concat_ws(" ", "before", lead)).drop("word")
-    named = _named(rows.where(F.col("text").rlike(ASSIGNED)), keys, ASSIGNED)
-    login = _named(rows.where(F.col("text").contains("@") & F.col("text").rlike(LOGIN)), keys, LOGIN)
+    found = found.select(*keys, "path", "c.place", "c.before", "c.after", F.explode("c.values").alias("v"))
+    found = found.select(*keys, "path", "place", F.concat_ws(" ", "before", "v.lead").alias("before"), "after", "v.value")
+    text = F.translate("text", _OPEN + _CLOSE + _HEAD + _END, "\x03" * 4)
+    named = _named(rows.where(F.col("text").rlike(ASSIGNED)), keys, F.regexp_replace(text, F.lit(ASSIGNED), F.lit(f"$1{_OPEN}$2{_CLOSE}")))
+    hosted = F.regexp_replace(text, F.lit(HOSTED), F.lit(f"{_HEAD}$1{_END}"))
+    logins = F.translate(F.regexp_replace(hosted, F.lit(LOGIN), F.lit(f"$1{_OPEN}$2{_CLOSE}")), _HEAD + _END, "")
+    login = _named(rows.where(F.col("text").rlike("@[A-Za-z0-9\\[]")), keys, logins)
     return found.unionByName(named).unionByName(login)
 
 
+def _values(word: Column) -> Column:
+    """The runs of key characters in a word, each with what stands between it and the run before."""
+    leads = F.transform(F.split(word, CANDIDATE, -1), lambda piece: F.right(piece, F.lit(NEAR)))
+    found = F.regexp_extract_all(word, F.lit(CANDIDATE), F.lit(0))
+    return F.zip_with(F.slice(leads, F.lit(1), F.size(found)), found, lambda lead, value: F.struct(lead.alias("lead"), value.alias("value")))
+
+
 def _around(i: Column) -> list[Column]:
+    earlier = F.slice("w", F.greatest(i - AROUND, F.lit(0)) + 1, F.least(i, F.lit(AROUND)))
     return [
-        F.get(F.col("w"), i).alias("word"),
-        F.array_join(F.slice("w", F.greatest(i - AROUND, F.lit(0)) + 1, F.least(i, F.lit(AROUND))), " ").alias("before"),
-        F.array_join(F.slice("w", i + 2, F.lit(AROUND)), " ").alias("after"),
+        F.array_join(F.transform(earlier, lambda w: F.right(w, F.lit(NEAR))), " ").alias("before"),
+        F.array_join(F.transform(F.slice("w", i + 2, F.lit(AROUND)), lambda w: F.left(w, F.lit(NEAR))), " ").alias("after"),
     ]
 
 
-def _named(rows: DataFrame, keys: list[str], pattern: str) -> DataFrame:
-    """Candidates by a pattern with what stands before as group 1 and the value as group 2, but for those that are
-    runs of key characters as well. Values are put between marks, which are no blanks: words keep their numbers."""
-    marked = F.regexp_replace(F.translate("text", _OPEN + _CLOSE, "\x03\x03"), F.lit(pattern), F.lit(f"$1{_OPEN}$2{_CLOSE}"))
-    words = rows.select(*keys, "path", marked.alias("m"))
-    words = words.select(*keys, "path", F.regexp_extract_all("m", F.lit(SPACED_WORD), F.lit(0)).alias("w"), F.regexp_extract_all("m", F.lit(f"{_OPEN}([^{_CLOSE}]*){_CLOSE}"), F.lit(1)).alias("values"))
-    places = F.expr(f"flatten(transform(sequence(0, size(w) - 1), i -> array_repeat(i, length(w[i]) - length(replace(w[i], '{_OPEN}', '')))))")
-    near = F.zip_with(places, "values", lambda i, v: F.struct(i.alias("place"), v.alias("value"), *_around(i)))
-    found = words.select(*keys, "path", F.explode(near).alias("c")).select(*keys, "path", "c.*")
+def _named(rows: DataFrame, keys: list[str], marked: Column) -> DataFrame:
+    """The candidates that stand between marks in `marked`, but for those that are runs of key characters as
+    well. The marks are no blanks: words keep their numbers.
+
+    The text is split at the marks into lead, value, lead, value, ..., rest; the word a value starts in is
+    the number of words that start before it, less one if its lead ends inside a word."""
+    words = rows.select(*keys, "path", marked.alias("m")).where(F.col("m").contains(_OPEN))
     bare = lambda c: F.translate(c, _OPEN + _CLOSE, "")
-    lead = F.expr(f"substring_index(word, concat('{_OPEN}', split(value, '[ ]')[0]), 1)")
-    found = found.where(~F.array_contains(F.regexp_extract_all(bare("word"), F.lit(CANDIDATE), F.lit(0)), F.col("value")))
-    return found.select(*keys, "path", "place", bare(F.concat_ws(" ", "before", lead)).alias("before"), bare("after").alias("after"), "value")
+    words = words.select(*keys, "path", F.regexp_extract_all("m", F.lit(SPACED_WORD), F.lit(0)).alias("w"), F.split("m", f"[{_OPEN}{_CLOSE}]", -1).alias("pieces"))
+    opens = F.expr(f"flatten(transform(sequence(0, size(w) - 1), i -> array_repeat(i, length(w[i]) - length(replace(w[i], '{_OPEN}', '')))))")
+    words = words.withColumn("places", opens)
+    each = F.transform(F.sequence(F.lit(1), F.size("places")), lambda k: F.struct(
+        F.get(F.col("places"), k - 1).alias("place"), F.get(F.col("pieces"), 2 * k - 1).alias("value"),
+        F.left(F.get(F.col("pieces"), 2 * k), F.lit(1)).alias("next"),
+        F.right(F.element_at(F.split(F.get(F.col("pieces"), 2 * k - 2), "[\\x20\\x09-\\x0D]", -1), -1), F.lit(NEAR)).alias("lead"),
+    ))
+    near = F.transform(each, lambda c: F.struct(c["place"].alias("place"), c["value"].alias("value"), c["lead"].alias("lead"), c["next"].alias("next"), *_around(c["place"])))
+    found = words.select(*keys, "path", F.explode(near).alias("c")).select(*keys, "path", "c.*")
+    run = F.col("value").rlike(f"^{CANDIDATE}$") & ~F.col("lead").rlike("[A-Za-z0-9_+/.-]$") & ~F.col("next").rlike("[A-Za-z0-9_+/.=-]")
+    found = found.where(~run)
+    return found.select(*keys, "path", "place", bare(F.concat_ws(" ", "before", "lead")).alias("before"), bare("after").alias("after"), "value")
 
 
 FEATURES = ["length", "turns", "digits", "uppers", "lowers", "hexadecimal", "dots", "dashes", "repeats", "covered", "credential", "sample", "other", "assigned", "quoted", "path_sample", "path_config", "own_sample", "marks", "code", "login"]
