@@ -37,7 +37,8 @@ class Tests:
     """A block of test items: their words as numbers, and their windows as fixed-width keys."""
 
     vocabulary: np.ndarray  # sorted word hashes
-    ids: np.ndarray  # item of each window
+    names: list[int | None]  # id of each item
+    item: np.ndarray  # item of each window
     at: np.ndarray  # start of each window in its item
     low: np.ndarray  # smallest key that begins with the window
     high: np.ndarray  # largest
@@ -62,8 +63,7 @@ class Tests:
         body = numbers[np.minimum(start[:, None] + np.arange(DEPTH)[None, :], len(numbers) - 1)]
         low = np.where(inside, body, 0).astype(">u4")
         high = np.where(inside, body, 0xFFFFFFFF).astype(">u4")
-        ids = np.array([-1 if i is None else i for i, _ in items], dtype=object)
-        return cls(vocabulary, ids[item], at, _keys(low), _keys(high), length, int(lengths[counts > 0].min()))
+        return cls(vocabulary, [i for i, _ in items], item, at, _keys(low), _keys(high), length, int(lengths[counts > 0].min()))
 
 
 def _keys(numbers: np.ndarray) -> np.ndarray:
@@ -106,7 +106,7 @@ def longest_matches(hits: np.ndarray, words, tests: Tests) -> list[tuple[int, in
         return []
     text = words.text[hits[:, 1]]
     place = hits[:, 1] - words.first[text]
-    at, item = tests.at[hits[:, 0]], tests.ids[hits[:, 0]].astype(np.int64)
+    at, item = tests.at[hits[:, 0]], tests.item[hits[:, 0]]
     length = tests.length[hits[:, 0]]
     order = np.lexsort((at, place - at, item, text))
     text, place, at, item, length = (x[order] for x in (text, place, at, item, length))
@@ -125,14 +125,14 @@ def _found(column: pa.Array, tests: Tests) -> tuple[list[list[dict]], list[int]]
         words = words_of(chunk, ALNUM)
         totals += np.diff(words.first).tolist()
         for text, item, at, place, n in longest_matches(shard_matches(words, tests), words, tests):
-            found[chunk.rows.start + text].append({"item_id": None if item < 0 else item, "item_start": at, "doc_start": place, "n_words": n})
+            found[chunk.rows.start + text].append({"item_id": tests.names[item], "item_start": at, "doc_start": place, "n_words": n})
     return found, totals
 
 
 def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Tests]:
     """The test items in blocks of a bounded number of words, fetched one partition at a time.
 
-    Negative item ids are not supported; an item without id is searched but has no name.
+    An item without id is searched but has no name.
     """
     held: list[tuple[int | None, str | None]] = []
     size = 0

@@ -21,7 +21,7 @@ from holdfast.session import staged
 REPEATS = 3  # times a document may be taken
 SEED = 41
 BUCKETS = 1 << 12  # of a pattern's seeded order
-MOST_PATTERNS = 200_000  # membership patterns the driver's flow accepts
+MOST_PATTERNS = 200_000  # membership patterns whose sums the driver takes
 
 
 def n_words(text: Column) -> Column:
@@ -94,6 +94,33 @@ def min_cost_flow(capacity: dict[tuple, int], quota: dict[str | None, int], repe
     return {(p, s): repeats * capacity[p] - e[1] for p in capacity for e in graph[("p", p)] if isinstance(e[0], tuple) and e[0][0] == "s" for s in [e[0][1]]}
 
 
+def flows(capacity: dict[tuple, int], quota: dict[str | None, int], repeats: int = REPEATS) -> dict[tuple[tuple, str | None], int]:
+    """`min_cost_flow` for each set of patterns that overlapping sources connect. A pattern of one source that stands in
+    no other pattern needs no search: its words fill the quota, all of them once before any is taken again."""
+    parent: dict = {}
+
+    def root(s: str | None) -> str | None:
+        while parent.setdefault(s, s) != s:
+            parent[s] = s = parent[parent[s]]
+        return s
+
+    for p in capacity:
+        for s in p[1:]:
+            parent[root(s)] = root(p[0])
+    connected: dict = defaultdict(dict)
+    for p, n in capacity.items():
+        connected[root(p[0])][p] = n
+    out: dict[tuple[tuple, str | None], int] = {}
+    for part in connected.values():
+        first = next(iter(part))
+        if len(part) == 1 and len(first) == 1:
+            out[first, first[0]] = min(quota[first[0]], repeats * part[first])
+        else:
+            sources = {s for p in part for s in p}
+            out |= min_cost_flow(part, {s: quota[s] for s in sources}, repeats)
+    return out
+
+
 NULL_SOURCE = "0"  # name of the missing source inside patterns; others get the prefix "1"
 
 
@@ -168,7 +195,7 @@ def mix(docs: DataFrame, sources: Column, key: str = "doc_id", text: str = "text
             of_source[_source(name)] += n
     goal = targets(list(of_source.items()), sum(sizes.values()))
     patterns = {p: tuple(_source(name) for name in p) for p in sizes}
-    flow = min_cost_flow({patterns[p]: n for p, n in sizes.items()}, {s: round(t) for s, t in goal.items()})
+    flow = flows({patterns[p]: n for p, n in sizes.items()}, {s: round(t) for s, t in goal.items()})
     taken: dict[tuple, int] = defaultdict(int)
     for (p, _), n in flow.items():
         taken[p] += n

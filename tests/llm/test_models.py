@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 
@@ -118,6 +119,31 @@ def test_flow_prefers_single_use():
     assert sum(mixing.min_cost_flow({("a",): 10}, {"a": 45}).values()) == 30
 
 
+def test_flows_of_parts_equal_the_whole():
+    rng = random.Random(9)
+    for _ in range(30):
+        capacity = {tuple(sorted(rng.sample("abcdefgh", rng.choice([1, 1, 1, 2, 3])))): rng.randint(1, 40) for _ in range(5)}
+        quota = {s: rng.randint(0, 90) for p in capacity for s in p}
+
+        def cost(flow):
+            taken = {p: sum(n for (q, _), n in flow.items() if q == p) for p in capacity}
+            return sum(taken.values()), sum(max(0, taken[p] - level * capacity[p]) for p in capacity for level in (1, 2))
+
+        parts, whole = mixing.flows(capacity, quota), mixing.min_cost_flow(capacity, quota)
+        assert cost(parts) == cost(whole)
+        assert all(sum(n for (_, t), n in parts.items() if t == s) <= quota[s] for s in quota)
+
+
+def test_many_single_sources_take_seconds():
+    begun = time.time()
+    sizes = {(f"s{i}",): i % 50 + 1 for i in range(20_000)}
+    goal = mixing.targets([(p[0], n) for p, n in sizes.items()], sum(sizes.values()))
+    flow = mixing.flows(sizes, {s: round(t) for s, t in goal.items()})
+    assert time.time() - begun < 20
+    assert abs(sum(flow.values()) - sum(sizes.values())) <= 20_000
+    assert all(n <= 3 * sizes[p] for (p, _), n in flow.items())
+
+
 def test_overlapping_sources(spark):
     docs = spark.createDataFrame([(i, "w " * 10, [["a"], ["a", "b"], ["b", None], []][i % 4]) for i in range(400)], "doc_id long, text string, sources array<string>")
     picked, goals = mixing.mix(docs, mixing.F.col("sources"))

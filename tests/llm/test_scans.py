@@ -64,7 +64,7 @@ def test_decontamination(spark, block):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(30)]
     some = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
-    items = [(0, some(15)), (1, some(40)), (2, "short item"), (3, None), (4, ""), (5, some(12)), (None, some(11)), (5, "w1 w2 w3")]
+    items = [(0, some(15)), (1, some(40)), (2, "short item"), (3, None), (4, ""), (5, some(12)), (None, some(11)), (5, "w1 w2 w3"), (-1, some(10)), (-7, "w4 w5 w6")]
     texts = [*odd_texts(), *(some(200) for _ in range(40))]
     texts += [some(20) + " " + items[1][1].upper() + ". " + some(5), "a Short, ITEM b", " ".join(words(items[0][1])[:9]), items[0][1] + " " + items[0][1], "short"]
     bench = spark.createDataFrame(items, "item_id long, text string")
