@@ -23,7 +23,7 @@ DRIFT = 3
 STRETCH = 1.5
 
 # Phrases and their labels.
-PHRASES = [("the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
+PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 # Wording of common license notices; label, least share of the template's grams, text.
 NOTICES = [
     ("mit", 0.7, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
@@ -39,7 +39,7 @@ NOTICES = [
     ("cc-by-sa", 1.0, "Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("cc-by-nc", 1.0, "Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("gpl-3", 1.0, "GNU General Public License, version 3"),
-    ("mit", 1.0, "under the MIT License"),
+    ("mit", 1.0, "the MIT License"),
     ("apache-2", 1.0, "under the Apache License Version 2.0"),
     ("cc-by-nc", 1.0, "under CC BY-NC 4.0"),
 ]
@@ -79,7 +79,7 @@ def spans(docs: DataFrame) -> DataFrame:
     votes = hits.groupBy(*by, F.expr("position - place").alias("diagonal"))
     votes = votes.agg(F.count("template").alias("votes"), F.min("position").alias("low"), F.max("position").alias("high"))
     near = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.col("diagonal") - F.lag("diagonal").over(near) > F.when(F.col("is_base"), 0).otherwise(DRIFT)
+    apart = F.col("diagonal") - F.lag("diagonal").over(near) > F.when(F.expr("is_base OR n_grams = 1"), 0).otherwise(DRIFT)
     merged = votes.withColumn("span", F.sum(F.when(apart, 1).otherwise(0)).over(near)).groupBy(*by, "span")
     merged = merged.agg(F.sum("votes").alias("votes"), F.min("low").alias("low"), F.max("high").alias("high"))
     cover = F.least(F.col("votes") / F.col("n_grams"), F.lit(1.0))
@@ -123,7 +123,7 @@ grams AS (SELECT row, i AS position, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i +
 votes AS (
   SELECT row, template, label, is_base, least, n_grams, position - place AS diagonal, count(*) AS votes, min(position) AS low, max(position) AS high
   FROM grams JOIN templates USING (gram) GROUP BY ALL),
-marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER near > CASE WHEN is_base THEN 0 ELSE {DRIFT} END THEN 1 ELSE 0 END AS apart
+marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER near > CASE WHEN is_base OR n_grams = 1 THEN 0 ELSE {DRIFT} END THEN 1 ELSE 0 END AS apart
   FROM votes WINDOW near AS (PARTITION BY row, template ORDER BY diagonal)),
 numbered AS (SELECT *, sum(apart) OVER (PARTITION BY row, template ORDER BY diagonal) AS span FROM marked),
 merged AS (

@@ -54,8 +54,18 @@ def test_license_scan(spark):
     assert licenses.licenses(frame(spark, []).where("false")).count() == 0
 
 
+def test_license_scan_counts_the_phrases_of_its_contract(spark):
+    """The first base phrase begins with "under"; without it the method's label stays."""
+    texts = ["Released UNDER the MIT-license, under the mit license", "the mit license the mit license", "apache license version 2", "under cc by nc"]
+    rows = sorted(licenses.licenses(frame(spark, texts)).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows] == [
+        (9, 2, 1, 5, "mit"), (6, 0, None, None, ""), (4, 1, 0, 0, "apache-2"), (4, 1, 1, 1, "cc-by-nc"),
+    ]
+    assert [r.labels for r in rows] == ["mit", "mit", "apache-2", "cc-by-nc"]
+
+
 def test_license_scan_repeated_rows(spark):
-    rows = licenses.licenses(frame(spark, ["the mit license"] * 3, [1, 1, None])).collect()
+    rows = licenses.licenses(frame(spark, ["under the mit license"] * 3, [1, 1, None])).collect()
     assert [r.n_base for r in rows] == [1, 1, 1]
 
 
