@@ -1,7 +1,7 @@
 """Keyed state on streams: burst rules and the live order snapshot.
 
-State per key is small (the burst limit's worth of times; one order row). A key's rows of
-one micro-batch meet in one task, so a heavy key costs at most a micro-batch: bound it
+State per key is small (the burst limit's worth of times; one order row). A bucket's rows of
+one micro-batch meet in one call, at most a micro-batch if a key is heavy: bound it
 with the source's rate option (maxOffsetsPerTrigger, maxFilesPerTrigger).
 """
 
@@ -11,8 +11,10 @@ import json
 import sys
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from itertools import pairwise
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -25,73 +27,105 @@ from holdfast.plans.folds import AnchoredWindow, ArrivalBurst, Fold
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_KEY = T.StructType([T.StructField("key", T.StringType())])
 _STATE = T.StructType([T.StructField("json", T.StringType())])
+# Keys are handled in so many groups, so that a key costs its rows and not a call of its own.
+BUCKETS = 1024
+# Columns added for that; the rows' way to Python keeps no names that begin with an underscore.
+KEY, BUCKET = "keyed_by", "keyed_bucket"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class JsonState(StatefulProcessor):
-    """One JSON value per key; an idle key's value expires after the time to live."""
+class KeyedState(StatefulProcessor):
+    """One JSON value per key, kept for many keys at a time: a call handles a bucket of keys with its rows of the
+    micro-batch, and looks up only the keys that have rows. An idle key's value expires after the time to live."""
 
     def __init__(self, ttl_ms: int | None) -> None:
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.value = handle.getValueState("value", _STATE, self.ttl_ms)
+        self.values = handle.getMapState("values", _KEY, _STATE, self.ttl_ms)
 
-    def load(self) -> Any:
-        return json.loads(self.value.get()[0]) if self.value.exists() else None
+    def load(self, key: str) -> Any:
+        found = self.values.getValue((key,))
+        return None if found is None else json.loads(found[0])
 
-    def save(self, value: Any) -> None:
-        self.value.update((json.dumps(value),))
+    def save(self, key: str, value: Any) -> None:
+        self.values.updateValue((key,), (json.dumps(value),))
+
+    def runs(self, rows: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame, list[tuple[str, int, int]]]:
+        """The bucket's rows, key by key in arrival order, and where each key's rows begin and end."""
+        batch = pd.concat(list(rows))
+        codes = pd.factorize(batch[KEY])[0]
+        order = np.lexsort((batch["seq"].to_numpy(), codes))
+        batch, codes = batch.iloc[order], codes[order]
+        ends = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), len(codes)]
+        keys = batch[KEY].to_numpy()
+        return batch, [(keys[a], a, b) for a, b in pairwise(ends)]
 
     def close(self) -> None:
         pass
 
 
-class BurstState(JsonState):
-    """Walks a key's rows in arrival order and emits them with the rule's verdict."""
+class BurstState(KeyedState):
+    """Walks each key's rows in arrival order and emits them with the rule's verdict."""
 
     def __init__(self, fold: Fold, out: str, columns: Sequence[str], ttl_ms: int | None) -> None:
         super().__init__(ttl_ms)
         self.fold, self.out, self.columns = fold, out, list(columns)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("seq")
+        batch, runs = self.runs(rows)
         walk = getattr(self.fold, "walk_arrivals", self.fold.walk)
-        flags, state = walk(self.load(), batch["time_us"].to_numpy())
-        self.save(state)
+        times, flags = batch["time_us"].to_numpy(), np.zeros(len(batch), dtype=bool)
+        for own, a, b in runs:
+            flags[a:b], state = walk(self.load(own), times[a:b])
+            self.save(own, state)
         yield batch[self.columns].assign(**{self.out: flags})
 
 
-class OrderState(JsonState):
-    """One order's snapshot with fill-forward and the completeness gate."""
+class OrderState(KeyedState):
+    """Each order's snapshot with fill-forward and the completeness gate."""
 
-    def __init__(self, columns: Sequence[str], filled: Sequence[str], required: Sequence[str], ttl_ms: int | None) -> None:
+    def __init__(self, columns: Sequence[str], whole: Sequence[str], filled: Sequence[str], required: Sequence[str], ttl_ms: int | None) -> None:
         super().__init__(ttl_ms)
-        self.columns, self.filled, self.required = list(columns), list(filled), list(required)
+        self.columns, self.whole, self.filled, self.required = list(columns), set(whole), list(filled), list(required)
+
+    def _plain(self, batch: pd.DataFrame, name: str) -> list:
+        """A column's values, null as None; whole numbers as such even when nulls came with them."""
+        values, present = batch[name].tolist(), batch[name].notna().tolist()
+        return [(int(v) if name in self.whole else v) if p else None for v, p in zip(values, present)]
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("seq").astype(object)
-        stored = self.load()
-        for row in batch.where(batch.notna(), None).to_dict("records"):
-            for name in self.filled:
-                row[name] = row[name] or (stored or {}).get(name)
-            if all(row[name] for name in (*self.required, *self.filled)):
-                row["created_at"] = row["ingested_at"] if stored is None else stored["created_at"]
-                stored = row
-        if stored is not None:
-            self.save(stored)
-            yield pd.DataFrame([stored])[self.columns]
+        batch, runs = self.runs(rows)
+        names = [c for c in batch.columns if c not in (KEY, BUCKET)]
+        values, current = list(zip(*(self._plain(batch, c) for c in names))), []
+        for own, a, b in runs:
+            stored = self.load(own)
+            for given in values[a:b]:
+                row = dict(zip(names, given))
+                for name in self.filled:
+                    row[name] = row[name] or (stored or {}).get(name)
+                if all(row[name] for name in (*self.required, *self.filled)):
+                    row["created_at"] = row["ingested_at"] if stored is None else stored["created_at"]
+                    stored = row
+            if stored is not None:
+                self.save(own, stored)
+                current.append([stored[c] for c in self.columns])
+        if current:
+            yield pd.DataFrame(current, columns=self.columns, dtype=object)
 
 
 def _milliseconds(idle: timedelta | None) -> int | None:
     return None if idle is None else int(idle.total_seconds() * 1000)
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], processor: JsonState, schema: T.StructType, mode: str) -> DataFrame:
+def _keyed(df: DataFrame, keys: Sequence[str], processor: KeyedState, schema: T.StructType, mode: str) -> DataFrame:
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     time_mode = "None" if processor.ttl_ms is None else "ProcessingTime"
-    return df.groupBy(*keys).transformWithStateInPandas(processor, schema, mode, time_mode)
+    named = ", ".join(keys)
+    df = df.selectExpr("*", f"to_json(struct({named})) AS {KEY}", f"CAST(pmod(xxhash64({named}), {BUCKETS}) AS int) AS {BUCKET}")
+    return df.groupBy(BUCKET).transformWithStateInPandas(processor, schema, mode, time_mode)
 
 
 def stream_burst(
@@ -125,7 +159,8 @@ def stream_orders(rows: DataFrame, filled: Sequence[str], required: Sequence[str
     passed as microseconds, see :func:`as_micros`.
     """
     schema = T.StructType([*rows.schema.fields, T.StructField("created_at", T.LongType())])
-    processor = OrderState([f.name for f in schema], filled, required, _milliseconds(idle))
+    whole = [f.name for f in schema if isinstance(f.dataType, T.LongType)]
+    processor = OrderState([f.name for f in schema], whole, filled, required, _milliseconds(idle))
     return _keyed(rows, ["order_id"], processor, schema, "update")
 
 

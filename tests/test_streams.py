@@ -7,10 +7,13 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from holdfast.operators import intake, quarantine, rules, snapshot
 from holdfast.operators.rules import Burst
+from holdfast.plans.folds import ArrivalBurst
 from holdfast.session import scratch_path, staged
 from holdfast.sources.messages import ENVELOPE, decode_messages, read_messages, split_bad
 from holdfast.sources.tables import first_arrivals
@@ -309,3 +312,50 @@ def test_live_snapshot_equals_fold(spark):
     shown = ["order_id", "user_id", "product_id", "current_status", "last_event_type", "hold_reason_code", "raw_reference", "created_at"]
     want = snapshot.fold_orders(df, "ingest")
     assert sorted(map(tuple, got.select(*shown).collect()), key=repr) == sorted(map(tuple, want.select(*shown).collect()), key=repr)
+
+
+class _Values:
+    """Map state kept in a dict."""
+
+    def __init__(self):
+        self.kept, self.asked = {}, []
+
+    def getValue(self, key):
+        self.asked.append(key)
+        return self.kept.get(key)
+
+    def updateValue(self, key, value):
+        self.kept[key] = value
+
+
+def test_one_call_walks_all_keys_of_a_bucket():
+    """A call of the burst or order state takes the rows of many keys, in any order, and looks each key up once."""
+    rng = random.Random(8)
+    fold = ArrivalBurst(5_000_000, 2)
+    state, alone = keyed.BurstState(fold, "burst", ["seq"], None), {}
+    state.values = _Values()
+    for batch in range(2):
+        rows = [(batch * 1000 + i, f"u{rng.randrange(40)}", rng.randrange(60) * 1_000_000) for i in range(400)]
+        want = {}
+        for seq, key, at in rows:
+            flags, alone[key] = fold.walk(alone.get(key), np.array([at]))
+            want[seq] = bool(flags[0])
+        rng.shuffle(rows)
+        given = pd.DataFrame(rows, columns=["seq", keyed.KEY, "time_us"])
+        state.values.asked.clear()
+        got = pd.concat(state.handleInputRows((0,), iter([given[:100], given[100:]]), None))
+        assert dict(zip(got["seq"], got["burst"])) == want and any(want.values())
+        assert len(state.values.asked) == len({key for _, key, _ in rows})
+    orders = keyed.OrderState(["order_id", "seq", "user_id", "created_at"], ["seq", "created_at"], ["user_id"], ["order_id"], None)
+    orders.values = _Values()
+    rows = [("a", 1, None, 5.0), ("b", 2, "x", 6.0), ("a", 3, "y", 7.0), ("b", 4, "", None), ("c", 5, "", 9.0)]
+    given = pd.DataFrame(rows, columns=["order_id", "seq", "user_id", "ingested_at"]).assign(**{keyed.KEY: lambda d: d["order_id"], keyed.BUCKET: 0})
+    (got,) = orders.handleInputRows((0,), iter([given]), None)
+    assert got.to_dict("split")["data"] == [["a", 3, "y", 7], ["b", 4, "x", 6]]
+
+
+def test_null_keys_of_a_stream_are_their_own(spark):
+    rows = [(i, [None, "", "u"][i % 3], T0 + timedelta(seconds=i // 3)) for i in range(12)]
+    df = spark.createDataFrame(rows, "seq bigint, user_id string, created_at timestamp_ntz")
+    got = collect(spark, keyed.stream_burst(as_stream(spark, df, 2), ["user_id"], Burst(60.0, 2))).collect()
+    assert {r.seq: r.burst for r in got} == {i: i >= 6 for i in range(12)}
