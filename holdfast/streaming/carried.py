@@ -1,18 +1,20 @@
 """Burst verdicts of micro-batches that go on from the state earlier batches stored.
 
 Each batch writes, under its id, the state of the keys it touched: as many times as the
-burst's limit, or one open window. A key's rows of one batch meet in one task, so a heavy
-key costs at most a micro-batch: bound it with the source's rate option.
+burst's limit, or one open window. A key's rows of one batch meet in one task, which walks them
+one Arrow batch at a time: bound them with the source's rate option.
 """
 
 from __future__ import annotations
 
 import json
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +33,45 @@ _ARRIVAL = ["ingested_at", "partition", "offset"]
 
 
 def _walking(fold: Fold, names: Sequence[str]):
+    """Flags of a partition sorted by key, where a key's stored state comes before its rows in arrival order.
+
+    Only one Arrow batch is held at a time. A key's new state follows as a row of its own when the key ends.
+    """
     walk = getattr(fold, "walk_arrivals", fold.walk)
 
-    def run(rows: pa.Table, stored: pa.Table) -> pa.Table:
-        rows = rows.sort_by([(c, "ascending") for c in _ARRIVAL])
-        state = json.loads(stored.column("_state")[0].as_py()) if stored.num_rows else None
-        flags, state = walk(state, rows.column("_time").to_numpy())
-        last = np.full(len(flags), None, dtype=object)
-        last[-1] = json.dumps(state)
-        return rows.select(names).append_column("_flag", pa.array(flags)).append_column("_state", pa.array(last, pa.string()))
+    def states(ended: list[tuple[str, str]], like: pa.RecordBatch) -> pa.RecordBatch:
+        given = {"_key": [k for k, _ in ended], "_state": [s for _, s in ended]}
+        columns = [pa.array(given[n], t) if n in given else pa.nulls(len(ended), t) for n, t in zip(like.schema.names, like.schema.types)]
+        return pa.RecordBatch.from_arrays(columns, schema=like.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, counted = None, None, False
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            keys, stored = batch.column("_key"), batch.column("_state")
+            is_stored = np.asarray(stored.is_valid())
+            times = pc.if_else(stored.is_valid(), 0, batch.column("_time")).to_numpy(zero_copy_only=False)
+            flags, ended = np.zeros(len(times), dtype=bool), []
+            begins = np.flatnonzero(np.asarray(pc.not_equal(keys[1:], keys[:-1]))) + 1
+            for a, b in pairwise([0, *begins.tolist(), len(times)]):
+                own = keys[a].as_py()
+                if own != key:
+                    if counted:
+                        ended.append((key, json.dumps(state)))
+                    key, state, counted = own, None, False
+                if is_stored[a]:
+                    state, a = json.loads(stored[a].as_py()), a + 1
+                if a < b:
+                    flags[a:b], state = walk(state, times[a:b])
+                    counted = True
+            columns = [*[batch.column(n) for n in names], pa.array(flags), pa.nulls(len(flags), pa.string())]
+            flagged = pa.RecordBatch.from_arrays(columns, [*names, "_flag", "_state"])
+            yield flagged.filter(pa.array(~is_stored)) if is_stored.any() else flagged
+            if ended:
+                yield states(ended, flagged)
+        if counted:
+            yield states([(key, json.dumps(state))], flagged)
 
     return run
 
@@ -48,7 +80,8 @@ def carried_flag(rows: DataFrame, keys: Sequence[str], fold: Fold, out: str, whe
     """Flags rows satisfying ``where`` in arrival order, after all batches before this one.
 
     Null keys count as empty, and rows that do not count get false. Repeating a batch
-    reads only older states and replaces what it wrote.
+    reads only older states and replaces what it wrote. A task walks all keys of its partition,
+    sorted, so a key costs its rows and not a call of its own.
     """
     key = f"to_json(array({', '.join(f"coalesce(CAST({k} AS string), '')" for k in keys)}))"
     marked = rows.selectExpr("*", f"coalesce({where}, false) AS _in", f"{key} AS _key", f"{micros(rows, time)} AS _time")
@@ -56,13 +89,15 @@ def carried_flag(rows: DataFrame, keys: Sequence[str], fold: Fold, out: str, whe
     stored = read_batches(rows.sparkSession, path, _STATE, batch_id)
     stored = stored.join(counted.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.max_by("_state", BATCH).alias("_state"))
     names = [*rows.columns, "_key"]
-    schema = T.StructType([*[marked.schema[n] for n in names], T.StructField("_flag", T.BooleanType()), T.StructField("_state", T.StringType())])
-    # An outer cogroup; stored keys are among the counted ones, so the left side is never empty.
-    flagged = counted.groupBy("_key").cogroup(stored.groupBy("_key")).applyInArrow(_walking(fold, names), schema)
+    fields = [T.StructField(n, marked.schema[n].dataType) for n in names]
+    schema = T.StructType([*fields, T.StructField("_flag", T.BooleanType()), T.StructField("_state", T.StringType())])
+    walked = counted.select(*names, "_time").unionByName(stored, allowMissingColumns=True)
+    walked = walked.repartition("_key").sortWithinPartitions("_key", F.col("_state").isNull(), *_ARRIVAL)
+    flagged = walked.mapInArrow(_walking(fold, names), schema)
     flagged = staged(flagged, "flagged")
     write_batch(flagged.where("_state IS NOT NULL").select("_key", "_state"), batch_id, path)
     others = marked.where("NOT _in").selectExpr(*rows.columns, f"false AS {out}")
-    return flagged.selectExpr(*rows.columns, f"_flag AS {out}").unionByName(others)
+    return flagged.where("_state IS NULL").selectExpr(*rows.columns, f"_flag AS {out}").unionByName(others)
 
 
 def carried(path: str, batch_id: int, anchored: bool = False) -> Flagger:

@@ -9,17 +9,18 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from holdfast.operators import intake, quarantine, rules, snapshot
 from holdfast.operators.rules import Burst
-from holdfast.plans.folds import ArrivalBurst
+from holdfast.plans.folds import AnchoredWindow, ArrivalBurst
 from holdfast.session import scratch_path, staged
 from holdfast.sources.messages import ENVELOPE, decode_messages, read_messages, split_bad
 from holdfast.sources.tables import first_arrivals
 from holdfast.streaming import intake as streamed
 from holdfast.streaming import keyed, runner, windows
-from holdfast.streaming.carried import carried
+from holdfast.streaming.carried import _walking, carried
 
 from test_intake import envelopes, message
 
@@ -359,3 +360,28 @@ def test_null_keys_of_a_stream_are_their_own(spark):
     df = spark.createDataFrame(rows, "seq bigint, user_id string, created_at timestamp_ntz")
     got = collect(spark, keyed.stream_burst(as_stream(spark, df, 2), ["user_id"], Burst(60.0, 2))).collect()
     assert {r.seq: r.burst for r in got} == {i: i >= 6 for i in range(12)}
+
+
+@pytest.mark.parametrize("anchored", [False, True])
+def test_carried_walk_goes_through_keys_and_arrow_batches(anchored):
+    """One walk takes all keys of a partition, stored states first, wherever the Arrow batches end."""
+    rng = random.Random(9)
+    fold = AnchoredWindow(4_000_000, 2) if anchored else ArrivalBurst(4_000_000, 2)
+    walk = getattr(fold, "walk_arrivals", fold.walk)
+    table, want, states = [], [], {}
+    for key in sorted(f"k{i}" for i in range(30)):
+        state, n = None, rng.randrange(1, 30)
+        if rng.random() < 0.5:
+            _, state = walk(None, np.array([0, 1_000_000]))
+            table.append((None, key, None, json.dumps(state)))
+        times = [rng.randrange(20) * 1_000_000 for _ in range(n)]
+        flags, state = walk(state, np.array(times))
+        table += [(len(want) + i, key, t, None) for i, t in enumerate(times)]
+        want += [(len(want) + i, bool(f)) for i, f in enumerate(flags)]
+        states[key] = state
+    names = ["row", "_key", "_time", "_state"]
+    whole = pa.table({n: pa.array([r[i] for r in table], t) for i, (n, t) in enumerate(zip(names, [pa.int64(), pa.string(), pa.int64(), pa.string()]))})
+    for size in (1, 7, 1000):
+        got = [r for b in _walking(fold, ["row", "_key"])(iter(whole.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        assert [(r["row"], r["_flag"]) for r in got if r["_state"] is None] == want
+        assert {r["_key"]: json.loads(r["_state"]) for r in got if r["_state"] is not None} == states
